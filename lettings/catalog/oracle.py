@@ -396,11 +396,11 @@ tenant AS (SELECT person_no, reason FROM tenant_of),
 agent AS (SELECT c_custkey + 30000000000 AS person_no, 'Firm' || c_nationkey AS firm FROM customer),
 person AS (
   SELECT s_suppkey + 10000000000 AS person_no, 'Given' || (s_suppkey % 20) AS first_name,
-    CASE WHEN s_suppkey % 50 = 7 THEN 'Nowak' ELSE 'Owner' || (s_suppkey % 80) END AS last_name FROM supplier
+    CASE WHEN s_suppkey % 50 = 7 THEN 'Nowak' ELSE 'Owner' || CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey // 10 ELSE s_suppkey END END AS last_name FROM supplier
   UNION ALL SELECT person_no, 'Given' || (c_custkey % 20), 'Tenant' || c_custkey FROM tenant_of WHERE person_no >= 20000000000
   UNION ALL SELECT c_custkey + 30000000000, 'Given' || (c_custkey % 20), 'Agent' || c_custkey FROM customer),
 space AS (
-  SELECT space_id, area, n_name AS city, space_id * 7919 % 10007 % (SELECT count(*) FROM supplier) + 10000000000 AS owner_no
+  SELECT space_id, area, n_name AS city, space_id * space_id * 7919 % 10007 % (SELECT count(*) FROM supplier) + 10000000000 AS owner_no
   FROM (SELECT p_partkey // 4 AS space_id, CAST(sum(p_size) AS BIGINT) AS area FROM part GROUP BY 1)
     JOIN nation ON n_nationkey = space_id % 25),
 house AS (
@@ -702,7 +702,12 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "CAST(a.monthly_rent AS DOUBLE) AS monthly_rent FROM payments y JOIN rental_agreements a USING (agreement_id) "
         "JOIN properties p ON a.property_id = p.property_id JOIN locations l ON p.location_id = l.location_id"
     ),
-    **{name: _star(f"SELECT * FROM {name}") for name in ("dim_date", "dim_location", "dim_owner", "dim_tenant", "dim_property", "fact_occupancy", "mart_occupancy", "mart_monthly_rental_revenue", "mart_average_rent_per_sqm")},
+    **{name: _star(f"SELECT * FROM {name}") for name in ("dim_date", "dim_location", "dim_owner", "dim_tenant", "dim_property", "mart_occupancy", "mart_monthly_rental_revenue", "mart_average_rent_per_sqm")},
+    "fact_occupancy": _star(
+        "SELECT rental_agreement_key, property_key, location_key, tenant_key, CAST(sum(occupied_day) AS BIGINT) AS occupied_days, "
+        "count(DISTINCT occupancy_key) AS occupancy_keys, min(occupancy_key) AS lowest_key, max(occupancy_key) AS highest_key, "
+        "min(date_key) AS first_date_key, max(date_day) AS last_day FROM fact_occupancy GROUP BY 1, 2, 3, 4"
+    ),
     "fact_rental_agreement": _star(
         "SELECT * REPLACE (CAST(monthly_rent AS DOUBLE) AS monthly_rent) FROM fact_rental_agreement"
     ),
@@ -776,7 +781,7 @@ SELECT a.region, a.m - b.m AS rent_trend FROM means a LEFT JOIN means b ON a.reg
     "legacy_q05": _legacy(
         "SELECT first_name, last_name FROM tenant JOIN person USING (person_no) JOIN agreement ON tenant_no = person_no "
         "GROUP BY person_no, first_name, last_name HAVING count(agreement_id) > (SELECT count(*) FROM agreement "
-        "JOIN tenant t2 ON tenant_no = t2.person_no WHERE CAST(t2.person_no AS VARCHAR) LIKE '%0001') AND avg(rent) > 2000"
+        "JOIN tenant t2 ON tenant_no = t2.person_no WHERE CAST(t2.person_no AS VARCHAR) LIKE '%0013') AND avg(rent) > 2000"
     ),
     "legacy_q06": _legacy(
         "SELECT space.* FROM space JOIN house USING (space_id) JOIN agreement USING (house_id) WHERE rent > (SELECT avg(rent) FROM agreement)"

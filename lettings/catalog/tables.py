@@ -274,7 +274,8 @@ def legacy_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         both = F.lit(OWNER_BASE) + F.expr("custkey div 40")
         return F.when(key % 40 == 0, both).otherwise(key + TENANT_BASE)
 
-    surname = F.when(_every(s, 50, 7), "Nowak").otherwise(_id("Owner", s % 80))
+    shared = F.expr("CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey div 10 ELSE s_suppkey END")
+    surname = F.when(_every(s, 50, 7), "Nowak").otherwise(_id("Owner", shared))
     owners = suppliers.select(
         (s + OWNER_BASE).alias("person_no"),
         _id("Given", s % 20).alias("first_name"),
@@ -317,7 +318,7 @@ def legacy_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             "space_id",
             "area",
             "city",
-            (F.col("space_id") * 7919 % 10007 % n_suppliers + OWNER_BASE).alias("owner_no"),
+            (F.expr("space_id * space_id * 7919 % 10007") % n_suppliers + OWNER_BASE).alias("owner_no"),
         )
     )
     houses = parts.select(

@@ -230,11 +230,23 @@ def fact_occupancy(state: State) -> DataFrame:
     """One row per agreement day.
 
     Every day of an agreement lies inside the calendar by definition of its bounds, so the range
-    join with the calendar is a plain expansion of each agreement.
+    join with the calendar is a plain expansion of each agreement. An agreement becomes hundreds
+    of rows, so the narrow input is first spread over all shuffle partitions (an explicit number
+    keeps AQE from merging them by their size before the expansion).
     """
     day = F.col("date_day")
+    agreements = fact_rental_agreement(state).select(
+        "agreement_id",
+        "rental_agreement_key",
+        "property_key",
+        "location_key",
+        "tenant_key",
+        "start_date",
+        "end_date",
+    )
+    partitions = int(agreements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        fact_rental_agreement(state)
+        agreements.repartition(partitions, "agreement_id")
         .withColumn("date_day", F.explode(F.sequence("start_date", "end_date")))
         .select(
             F.md5(F.concat("agreement_id", F.lit(":"), day.cast("string"))).alias("occupancy_key"),
