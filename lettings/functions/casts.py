@@ -49,6 +49,8 @@ def to_date(text: Column) -> Column:
 
 def to_instant(text: Column) -> Column:
     """An ISO timestamp that names its offset."""
-    colon = F.concat(F.left(text, F.length(text) - 2), F.lit(":"), F.right(text, F.lit(2)))
-    instant = F.coalesce(text.try_cast("timestamp"), colon.try_cast("timestamp"))
+    # Spark wants seconds and a colon in the offset; only texts it refuses are completed.
+    seconds = F.regexp_replace(text, r"^(.{16})([Z+-])", "$1:00$2")
+    complete = F.regexp_replace(seconds, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    instant = F.coalesce(text.try_cast("timestamp"), complete.try_cast("timestamp"))
     return F.when(text.rlike(TIMESTAMP_SHAPE) & (text >= "0001"), instant)

@@ -100,7 +100,14 @@ def free_gaps(keys: DataFrame, booked: DataFrame, key: str) -> DataFrame:
     return leading.unionByName(between)
 
 
-def first_fitting(requests: DataFrame, gaps: DataFrame, group: str, candidate: str) -> DataFrame:
+def first_fitting(
+    requests: DataFrame,
+    gaps: DataFrame,
+    group: str,
+    candidate: str,
+    *,
+    horizon: DataFrame | None = None,
+) -> DataFrame:
     """For each distinct request (group, day_from, day_to): the smallest candidate of the group
     with a gap around it, as column ``candidate``; requests that fit nowhere are absent.
 
@@ -109,9 +116,10 @@ def first_fitting(requests: DataFrame, gaps: DataFrame, group: str, candidate: s
     that tile the days up to its own start. Inside a block the smallest candidate with a late
     enough end is a running minimum over end days. Work is (gaps + requests) x log(days), and a
     block holds one row per end day, so a group with most of the data is still many small tasks.
+    ``horizon`` may name a cheaper frame whose ``day_from`` range covers that of the requests.
     """
     wanted = requests.select(group, "day_from", "day_to").distinct()
-    span = wanted.agg(F.min("day_from").alias("low"), F.max("day_from").alias("high"))
+    span = (wanted if horizon is None else horizon).agg(F.min("day_from").alias("low"), F.max("day_from").alias("high"))
     low, high = span.select("low").scalar(), span.select("high").scalar()
     reduced = (
         gaps.groupBy(group, "gap_from", "gap_to")

@@ -16,6 +16,7 @@ def earlier_total(
     name: str,
     *,
     buckets: int = 1024,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows of the group with a smaller ``order``.
 
@@ -23,9 +24,10 @@ def earlier_total(
     one task, so the order range is cut into equal-width buckets: totals per bucket are combined
     before their shuffle and accumulated over at most ``buckets`` rows per group, and the window
     over rows only sees one bucket of one group. The bucket is a function of the row and of two
-    scalars, so re-run tasks agree on it.
+    scalars, so re-run tasks agree on it. ``bounds`` may name a cheaper frame whose ``order``
+    range covers that of ``frame``.
     """
-    span = frame.agg(
+    span = (frame if bounds is None else bounds).agg(
         F.min(order).cast("long").alias("low"), F.max(order).cast("long").alias("high")
     )
     cut = (
@@ -58,7 +60,14 @@ def earlier_total(
 
 
 def position(
-    frame: DataFrame, group: Sequence[str], order: str, name: str, *, buckets: int = 1024
+    frame: DataFrame,
+    group: Sequence[str],
+    order: str,
+    name: str,
+    *,
+    buckets: int = 1024,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Zero-based position of each row in its group."""
-    return earlier_total(frame, group, order, F.lit(1).cast("long"), name, buckets=buckets)
+    one = F.lit(1).cast("long")
+    return earlier_total(frame, group, order, one, name, buckets=buckets, bounds=bounds)

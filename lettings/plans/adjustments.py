@@ -213,7 +213,7 @@ def reassign_agent(
         .select("agent_no", "firm", (F.col("_load") - 1).alias("_spare"))
     )
     offered = earlier_total(
-        donors, ["firm"], "agent_no", F.col("_spare"), "_before", buckets=buckets
+        donors, ["firm"], "agent_no", F.col("_spare"), "_before", buckets=buckets, bounds=firms
     )
     listed = position(
         active.select("agent_no", "agreement_id").join(
@@ -223,15 +223,16 @@ def reassign_agent(
         "agreement_id",
         "_mine",
         buckets=buckets,
+        bounds=agreements,
     )
     on_offer = (
         listed.join(offered, "agent_no")
         .filter(F.col("_mine") < F.col("_spare"))
         .select("firm", (F.col("_before") + F.col("_mine")).alias("_place"), "agreement_id")
     )
-    waiting = position(needy, ["firm"], "agent_no", "_place", buckets=buckets).select(
-        "firm", "_place", F.col("agent_no").alias("_taker")
-    )
+    waiting = position(
+        needy, ["firm"], "agent_no", "_place", buckets=buckets, bounds=firms
+    ).select("firm", "_place", F.col("agent_no").alias("_taker"))
     moves = on_offer.join(waiting, ["firm", "_place"]).select("agreement_id", "_taker")
     return agreements.join(moves, "agreement_id", "left").select(
         *[
@@ -300,10 +301,11 @@ def free_house_assignment(
     counted = conflict_counts(period, bounded, "house_id")
     space = houses.select("house_id", "space_id")
     days = {"day_from": F.unix_date("start_date"), "day_to": F.unix_date("end_date")}
+    horizon = period.select(days["day_from"].alias("day_from"))
     blocked = counted.filter("conflicts > 0").join(space, "house_id").withColumns(days)
     gaps = free_gaps(space.select("house_id"), bounded, "house_id").join(space, "house_id")
     found = first_fitting(
-        blocked, gaps.withColumnRenamed("house_id", "_free"), "space_id", "_free"
+        blocked, gaps.withColumnRenamed("house_id", "_free"), "space_id", "_free", horizon=horizon
     )
     moved = blocked.join(found, ["space_id", "day_from", "day_to"], "left").select(
         *period.columns, "_free"

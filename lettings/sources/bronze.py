@@ -22,27 +22,34 @@ def extract_path(folder: str, entity: Entity) -> str:
     return f"{folder.rstrip('/')}/{entity.name}.{entity.extract}"
 
 
-def with_source_rows(frame: DataFrame) -> DataFrame:
-    """Number the records of a file-based frame in (file, offset, line) order."""
-    stamped = frame.select(
+SPLIT = ["_file", "_block"]
+
+
+def stamped(frame: DataFrame) -> DataFrame:
+    """Mark each record of a text scan with its split and an ascending number inside it."""
+    return frame.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    splits = stamped.groupBy("_file", "_block").agg(
+
+
+def split_shifts(records: DataFrame) -> DataFrame:
+    """What to add to ``_id`` to get ``source_row``, one row per split."""
+    splits = records.groupBy(*SPLIT).agg(
         F.min("_id").alias("_start"), F.count(F.lit(1)).alias("_size")
     )
-    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file",
-        "_block",
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_start")).alias("_shift"),
-    )
+    earlier = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    return splits.select(*SPLIT, (before - F.col("_start") + 1).alias("_shift"))
+
+
+def with_source_rows(records: DataFrame, shifts: DataFrame) -> DataFrame:
     return (
-        stamped.join(offsets, ["_file", "_block"])
-        .withColumn(ROW, F.col("_id") + F.col("_shift") + 1)
-        .drop("_file", "_block", "_id", "_shift")
+        records.join(shifts, SPLIT)
+        .withColumn(ROW, F.col("_id") + F.col("_shift"))
+        .drop(*SPLIT, "_id", "_shift")
     )
 
 
@@ -98,7 +105,8 @@ def read_extract(
     """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     try:
-        return with_source_rows(_read(spark, path, spec, multiline))
+        records = stamped(_read(spark, path, spec, multiline))
+        return with_source_rows(records, split_shifts(records))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise PipelineError(f"Required source file does not exist: {path}") from error
@@ -113,27 +121,44 @@ def read_bronze(spark: SparkSession, folder: str, *, multiline: bool = False) ->
     }
 
 
-def ingest(spark: SparkSession, source: str, bronze: str, batch_id: str) -> dict[str, DataFrame]:
-    """Land the extracts unchanged in Bronze, as text columns with their row numbers.
+def _landing(bronze: str, batch_id: str, name: str) -> tuple[str, str]:
+    root = bronze.rstrip("/")
+    return f"{root}/{name}/batch_id={batch_id}", f"{root}/splits/{name}/batch_id={batch_id}"
 
-    The landed Parquet is what every later step reads, so re-run tasks see the same numbers.
+
+def ingest(
+    spark: SparkSession, source: str, bronze: str, batch_id: str, *, multiline: bool = False
+) -> dict[str, DataFrame]:
+    """Land the extracts unchanged in Bronze: the text columns, each parsed once.
+
+    Row numbers are settled from the landed split columns, so the text is not read again, and
+    every later step and every re-run task sees the same numbers.
     """
-    landed: dict[str, DataFrame] = {}
-    for name, frame in read_bronze(spark, source).items():
-        path = f"{bronze.rstrip('/')}/{name}/batch_id={batch_id}"
-        frame.write.mode("overwrite").parquet(path)
-        landed[name] = spark.read.parquet(path)
-    return landed
+    for name, spec in ENTITIES.items():
+        path, splits = _landing(bronze, batch_id, name)
+        extract = extract_path(source, spec)
+        try:
+            records = stamped(_read(spark, extract, spec, multiline))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                raise PipelineError(f"Required source file does not exist: {extract}") from error
+            raise
+        records.write.mode("overwrite").parquet(path)
+        shifts = split_shifts(spark.read.parquet(path).select(*SPLIT, "_id"))
+        shifts.write.mode("overwrite").parquet(splits)
+    return read_landed(spark, bronze, batch_id)
 
 
 def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, DataFrame]:
+    """Landed extracts with ``source_row``; the shifts are joined by their measured size."""
     landed: dict[str, DataFrame] = {}
     for name in ENTITIES:
-        path = f"{bronze.rstrip('/')}/{name}/batch_id={batch_id}"
+        path, splits = _landing(bronze, batch_id, name)
         try:
-            landed[name] = spark.read.parquet(path)
+            records, shifts = spark.read.parquet(path), spark.read.parquet(splits)
         except AnalysisException as error:
             raise PipelineError(f"Required Bronze data does not exist: {path}") from error
+        landed[name] = with_source_rows(records, shifts)
     return landed
 
 
