@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,27 +47,24 @@ def rent_trend(
     """
     scope = trends if where is None else trends.filter(where)
     visible = F.lit(True) if month is None else month
-    monthly = scope.groupBy(*by, "agreement_month").agg(
+    groups = [name for name in by if name != "agreement_month"]
+    monthly = scope.groupBy(*groups, "agreement_month").agg(
         F.sum("average_monthly_rent").alias("_sum"),
         F.count("average_monthly_rent").alias("_n"),
-        F.max(F.when(visible, F.col("agreement_month"))).alias("_visible"),
+        F.max(F.when(visible, F.lit(True))).alias("_visible"),
     )
+    in_order = Window.partitionBy(*groups).orderBy("agreement_month")
     mean = F.col("_sum").cast("double") / F.col("_n")
-    latest = monthly.groupBy(*by).agg(F.max("_visible").alias("_latest"))
-    if by:
-        placed = monthly.join(latest, list(by))
-    else:
-        placed = monthly.withColumn("_latest", latest.scalar())
-    upto = placed.filter(F.col("agreement_month") <= F.col("_latest"))
-    when = F.col("agreement_month")
-    means = upto.groupBy(*by).agg(
-        F.max_by(mean, when).alias("_current"),
-        F.max_by(
-            F.when(when < F.col("_latest"), mean),
-            F.when(when < F.col("_latest"), when),
-        ).alias("_previous"),
-    )
-    return means.select(*by, (F.col("_current") - F.col("_previous")).alias("rent_trend"))
+    changes = monthly.select(
+        *groups,
+        "agreement_month",
+        "_visible",
+        (mean - F.lag(mean).over(in_order)).alias("rent_trend"),
+    ).filter("_visible")
+    if "agreement_month" in by:
+        return changes.select(*by, "rent_trend")
+    latest = F.max_by("rent_trend", "agreement_month").alias("rent_trend")
+    return changes.groupBy(*groups).agg(latest)
 
 
 def measures_by(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:

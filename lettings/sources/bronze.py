@@ -163,7 +163,7 @@ def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, Da
 
 
 def require_well_formed(batch: Mapping[str, DataFrame]) -> None:
-    """Fail the batch on unreadable JSON, for callers that do not want it quarantined."""
+    """Fail a landed batch on unreadable JSON, for callers that do not want it quarantined."""
     for name, frame in batch.items():
         if MALFORMED in frame.columns and not frame.filter(F.col(MALFORMED).isNotNull()).isEmpty():
             raise PipelineError(f"Invalid JSON in source entity {name}")

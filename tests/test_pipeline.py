@@ -78,8 +78,8 @@ def test_five_batches(spark, tmp_path):
         states.run("unknown")
 
     models = pipeline.warehouse(states.read(), F.lit("2024-12-31").cast("date"))
-    report = pipeline.test_warehouse({**models, "property_history": history})
-    tests = report.collect()
+    built = pipeline.materialise(spark, {**models, "property_history": history}, f"{tmp_path}/gold")
+    tests = pipeline.check_warehouse(built).collect()
     assert len(tests) == 70
     assert sum(row.violations for row in tests) == 0
 
@@ -136,7 +136,7 @@ def test_readers(spark, tmp_path):
     assert [row.source_row for row in payments] == list(range(1, 12))
     assert payments[10].amount == "1.50"
     with pytest.raises(PipelineError):
-        bronze.require_well_formed(batch)
+        bronze.require_well_formed(bronze.ingest(spark, folder, f"{tmp_path}/bronze", "b"))
     parts = pipeline.quality.assess(batch, batch_id="b", processed_at=F.current_timestamp())
     bad = {row.source_row: row for row in parts["payments"].rejected.collect()}
     assert bad[10].reason_code == "MALFORMED_RECORD"

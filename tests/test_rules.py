@@ -125,7 +125,7 @@ RULES = [
 
 def test_each_rule_gives_its_reason(spark):
     """One batch breaks every rule, each in its own copy of the second record of an entity."""
-    data = extracts.rows(3)
+    data = extracts.rows(6)
     for number, (entity, field, value, _) in enumerate(RULES):
         bad = dict(data[entity][1])
         bad[list(bad)[0]] = f"X{number}"
