@@ -400,7 +400,7 @@ person AS (
   UNION ALL SELECT person_no, 'Given' || (c_custkey % 20), 'Tenant' || c_custkey FROM tenant_of WHERE person_no >= 20000000000
   UNION ALL SELECT c_custkey + 30000000000, 'Given' || (c_custkey % 20), 'Agent' || c_custkey FROM customer),
 space AS (
-  SELECT space_id, area, n_name AS city, space_id * space_id * 7919 % 10007 % (SELECT count(*) FROM supplier) + 10000000000 AS owner_no
+  SELECT space_id, area, n_name AS city, (space_id % 1000003) * (space_id % 1000003) % 1000003 * 104729 % 1000003 % (SELECT count(*) FROM supplier) + 10000000000 AS owner_no
   FROM (SELECT p_partkey // 4 AS space_id, CAST(sum(p_size) AS BIGINT) AS area FROM part GROUP BY 1)
     JOIN nation ON n_nationkey = space_id % 25),
 house AS (

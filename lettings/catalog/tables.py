@@ -309,6 +309,10 @@ def legacy_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     cities = table(spark, folder, "nation").select(
         F.col("n_nationkey").cast("long").alias("_city"), F.col("n_name").alias("city")
     )
+    # Irregular on purpose: owners hold from one to many spaces.
+    scattered = F.expr(
+        "(space_id % 1000003) * (space_id % 1000003) % 1000003 * 104729 % 1000003"
+    )
     spaces = (
         parts.groupBy(space_id.alias("space_id"))
         .agg(F.sum("p_size").alias("area"))
@@ -318,7 +322,7 @@ def legacy_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             "space_id",
             "area",
             "city",
-            (F.expr("space_id * space_id * 7919 % 10007") % n_suppliers + OWNER_BASE).alias("owner_no"),
+            (scattered % n_suppliers + OWNER_BASE).alias("owner_no"),
         )
     )
     houses = parts.select(
