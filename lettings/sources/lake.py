@@ -74,18 +74,15 @@ def read_silver_batch(spark: SparkSession, lake: Lake, batch_id: str) -> dict[st
     return {name: read_silver(spark, lake, batch_id, name) for name in ENTITIES}
 
 
-def write_quarantine(spark: SparkSession, lake: Lake, batch_id: str) -> None:
-    """Collect the rejected records of all entities under their batch partition."""
+def write_quarantine(spark: SparkSession, work: Lake, lake: Lake, batch_id: str) -> None:
+    """Gather the rejected records of all entities of ``work`` under their batch partition."""
     parts = [
-        _outcome(spark, lake, batch_id, spec)
+        _outcome(spark, work, batch_id, spec)
         .filter(F.col("outcome") == "rejected")
         .select(*QUARANTINE.names)
         for spec in ENTITIES.values()
     ]
-    save_quarantine(lake, reduce(DataFrame.unionByName, parts))
-
-
-def save_quarantine(lake: Lake, rejected: DataFrame) -> None:
+    rejected = reduce(DataFrame.unionByName, parts)
     rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "batch_id"
     ).parquet(lake.quarantine)
