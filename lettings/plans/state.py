@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from lettings.model import ENTITIES, QUARANTINE, PipelineError
 from lettings.operators import upsert
 
-VERSIONS = "version long, entity string, path string, batch_id string"
+VERSIONS = "version long, entity string, path string, batch_id string, attempt long"
 MAX_FAILURE_TEXT = 2000
 COUNTS = (
     "input_count",
@@ -81,11 +81,13 @@ class StateStore:
         return {name: frame.count() for name, frame in self.read().items()}
 
     def rejections(self) -> DataFrame:
-        """Rejection history: one record per batch, type, identifier and reason; last load wins."""
-        version, _ = self.manifest()
-        stored = self._table("rejections", T.StructType([*QUARANTINE, T.StructField("version", T.LongType())])).filter(
-            F.col("version") <= version
-        )
+        """Rejection history: one record per batch, type, identifier and reason; last load wins.
+
+        Only attempts that were committed count, so a failed load leaves nothing behind.
+        """
+        schema = T.StructType([*QUARANTINE, T.StructField("attempt", T.LongType())])
+        committed = self._table("versions", VERSIONS).select("attempt", "version").distinct()
+        stored = self._table("rejections", schema).join(committed, "attempt")
         return upsert.latest_per_key(
             stored, upsert.REJECTION_KEY, F.desc("version"), F.desc("source_row")
         ).select(*QUARANTINE.names)
@@ -113,7 +115,7 @@ class StateStore:
         version: int,
         paths: Mapping[str, str],
     ) -> dict[str, int]:
-        following = version + 1
+        following, attempt = version + 1, time.time_ns()
         current = {name: self._entity(name, paths) for name in ENTITIES}
         actions = {
             name: upsert.classify(accepted[name], current[name], spec.key)
@@ -121,14 +123,14 @@ class StateStore:
         }
         metrics = {row.entity: row for row in upsert.load_metrics(actions).collect()}
         upsert.latest_per_key(rejected, upsert.REJECTION_KEY, F.desc("source_row")).withColumn(
-            "version", F.lit(following).cast("long")
+            "attempt", F.lit(attempt).cast("long")
         ).write.mode("append").partitionBy("batch_id").parquet(f"{self.root}/rejections")
         written = dict(paths)
         for name, spec in ENTITIES.items():
             counted = metrics[name]
             if counted.inserted_count or counted.updated_count:
-                written[name] = self._write(name, following, accepted, current, name in paths)
-        self._commit(following, written, batch_id)
+                written[name] = self._write(name, attempt, accepted, current, name in paths)
+        self._commit(following, written, batch_id, attempt)
         return {
             column: sum(row[column] for row in metrics.values())
             for column in ("inserted_count", "updated_count", "skipped_count")
@@ -137,21 +139,22 @@ class StateStore:
     def _write(
         self,
         name: str,
-        version: int,
+        attempt: int,
         accepted: Mapping[str, DataFrame],
         current: Mapping[str, DataFrame],
         exists: bool,
     ) -> str:
-        # The attempt number keeps a crashed earlier attempt at this version out of the way.
-        path = f"{self.root}/data/{name}/v{version}-{time.time_ns()}"
+        path = f"{self.root}/data/{name}/{attempt}"
         merged = accepted[name].select(*ENTITIES[name].silver.names)
         if exists:
             merged = upsert.apply_upsert(accepted[name], current[name], ENTITIES[name].key)
         merged.write.parquet(path)
         return path
 
-    def _commit(self, version: int, paths: Mapping[str, str], batch_id: str) -> None:
-        rows = [(version, name, paths.get(name), batch_id) for name in ENTITIES]
+    def _commit(
+        self, version: int, paths: Mapping[str, str], batch_id: str, attempt: int
+    ) -> None:
+        rows = [(version, name, paths.get(name), batch_id, attempt) for name in ENTITIES]
         self.spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(
             f"{self.root}/versions"
         )

@@ -90,7 +90,8 @@ def test_five_batches(spark, tmp_path):
 
 def test_failed_load_is_audited_and_recovers(spark, tmp_path, monkeypatch):
     root = f"{tmp_path}/lake"
-    source = extracts.write(f"{tmp_path}/in", extracts.rows(3))
+    source = extracts.write(f"{tmp_path}/in", extracts.rows(3, defects=True))
+    clean = extracts.write(f"{tmp_path}/clean", extracts.rows(2))
 
     def broken(self, *args, **kwargs):
         raise PipelineError("x" * 3000)
@@ -104,10 +105,14 @@ def test_failed_load_is_audited_and_recovers(spark, tmp_path, monkeypatch):
     assert failed.final_status == "FAILED"
     assert len(failed.failure_message) == 2000
     assert sum(states.counts().values()) == 0
+    pipeline.run_batch(spark, clean, root, batch_id="b2")
+    assert states.rejections().count() == 0
     recovered = pipeline.load_batch(spark, root, "b1")
-    assert recovered["inserted_count"] == recovered["accepted_count"] > 0
+    assert recovered["inserted_count"] + recovered["skipped_count"] == recovered["accepted_count"]
+    assert recovered["inserted_count"] > 0 and recovered["skipped_count"] > 0
+    assert states.rejections().count() == recovered["rejected_count"] == 8
     assert states.run("b1").final_status == "SUCCESS"
-    assert states.runs().count() == 1
+    assert states.runs().count() == 2
 
 
 def test_validation_only_writes_no_silver(spark, tmp_path):
