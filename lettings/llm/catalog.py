@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettings.llm import common, simhash, token_counts
+from lettings.llm import common, repeats, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,9 +20,14 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(common.table(spark, sf_dir, "documents"))
 
 
+def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
     "op7_simhash": simhash_query,
+    "op9_repeats": repeats_query,
 }
 
 #: Only queries that DuckDB can express over whole tables.
