@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettings.llm import common, repeats, simhash, token_counts
+from lettings.llm import common, packing, repeats, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(common.table(spark, sf_dir, "documents"))
 
 
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(common.table(spark, sf_dir, "documents"))
+
+
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(common.table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
+    "op5_packing": packing_query,
     "op7_simhash": simhash_query,
     "op9_repeats": repeats_query,
 }

@@ -42,7 +42,7 @@ CACHE = 600_000
 LONGEST_CACHED = 48
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if printable, else the next free one above 255."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     free = iter(range(256, 512))
@@ -56,7 +56,7 @@ class Merger:
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
         ids = stated["model"]["vocab"]
-        self.symbols = [ids[letter] for letter in _byte_letters()]
+        self.symbols = [ids[letter] for letter in byte_letters()]
         self.ranks: dict[int, tuple[int, int]] = {}
         for rank, (left, right) in enumerate(stated["model"]["merges"]):
             self.ranks[ids[left] << 32 | ids[right]] = (rank, ids[left + right])
