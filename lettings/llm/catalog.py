@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettings.llm import common, packing, repeats, simhash, token_counts
+from lettings.llm import common, contamination, packing, repeats, simhash, sql, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(common.table(spark, sf_dir, "documents"))
 
 
+def contamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.judged(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
+    )
+
+
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(common.table(spark, sf_dir, "documents"))
 
@@ -31,9 +37,10 @@ def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
     "op5_packing": packing_query,
+    "op6_contamination": contamination_query,
     "op7_simhash": simhash_query,
     "op9_repeats": repeats_query,
 }
 
 #: Only queries that DuckDB can express over whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_contamination": sql.CONTAMINATION}
