@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettings.llm import common, contamination, packing, repeats, simhash, sql, token_counts
+from lettings.llm import common, contamination, packing, repeats, simhash, sql, token_counts, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,12 +34,17 @@ def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(common.table(spark, sf_dir, "documents"))
 
 
+def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.kept_and_linked(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
     "op5_packing": packing_query,
     "op6_contamination": contamination_query,
     "op7_simhash": simhash_query,
     "op9_repeats": repeats_query,
+    "op10_vectors": vectors_query,
 }
 
 #: Only queries that DuckDB can express over whole tables.
