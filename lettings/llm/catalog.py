@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettings.llm import common, contamination, packing, repeats, simhash, sql, token_counts, vectors
+from lettings.llm import (
+    common,
+    contamination,
+    language,
+    packing,
+    quality,
+    repeats,
+    simhash,
+    sql,
+    token_counts,
+    vectors,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +27,16 @@ def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(common.table(spark, sf_dir, "documents"))
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    )
+
+
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(common.table(spark, sf_dir, "documents"))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(common.table(spark, sf_dir, "documents"))
 
@@ -40,6 +61,8 @@ def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
+    "op2_quality": quality_query,
+    "op3_language": language_query,
     "op5_packing": packing_query,
     "op6_contamination": contamination_query,
     "op7_simhash": simhash_query,
