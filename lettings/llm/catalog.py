@@ -13,6 +13,7 @@ from lettings.llm import (
     packing,
     quality,
     repeats,
+    secret_scan,
     simhash,
     sql,
     token_counts,
@@ -51,6 +52,10 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(common.table(spark, sf_dir, "documents"))
 
 
+def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(common.table(spark, sf_dir, "documents"))
+
+
 def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(common.table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": packing_query,
     "op6_contamination": contamination_query,
     "op7_simhash": simhash_query,
+    "op8_secrets": secrets_query,
     "op9_repeats": repeats_query,
     "op10_vectors": vectors_query,
 }
