@@ -11,6 +11,7 @@ from lettings.llm import (
     contamination,
     language,
     packing,
+    pii,
     quality,
     repeats,
     secret_scan,
@@ -38,6 +39,10 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(common.table(spark, sf_dir, "documents"))
 
 
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(common.table(spark, sf_dir, "documents"))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(common.table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
     "op2_quality": quality_query,
     "op3_language": language_query,
+    "op4_pii": pii_query,
     "op5_packing": packing_query,
     "op6_contamination": contamination_query,
     "op7_simhash": simhash_query,
