@@ -46,6 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(documents: DataFrame) -> tuple[DataFrame, str]:
+    """The stored rows with a number in a new column, and that column's name."""
+    name = "row_number"
+    while name in {column.lower() for column in documents.columns}:
+        name = f"_{name}"
+    return stored(documents.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def row_numbers() -> Iterator[int]:
     """Numbers that are unique over all tasks; stable once the rows are stored."""
     number = TaskContext.get().partitionId() << 36

@@ -265,12 +265,12 @@ def accepted(
 ) -> DataFrame:
     """All columns of the documents whose score reaches the threshold."""
     common.prepare(documents.sparkSession)
-    numbered = common.stored(documents.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    both = F.struct(F.col(key).alias("id"), F.col("_row").alias("row"))
-    stats = measured(numbered.select(both.alias("both"), text), "both", text)
+    rows, number = common.numbered(documents)
+    both = F.struct(F.col(key).alias("id"), F.col(number).alias("row"))
+    stats = measured(rows.select(both.alias("both"), F.col(text).alias("text")), "both")
     model = fit(stats.select(F.col("key.id").alias("key"), "stats"), labels)
     scores = stats.select(F.col("key.row").alias("key"), "stats").mapInArrow(
         _scoring(model), "key long, score double"
     )
-    kept = scores.filter(F.col("score") >= THRESHOLD).select(F.col("key").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    kept = scores.filter(F.col("score") >= THRESHOLD).select(F.col("key").alias(number))
+    return rows.join(kept, number, "left_semi").drop(number)
