@@ -35,6 +35,8 @@ SHINGLE = 3
 SEGMENTS = 2
 SEGMENT_BITS = 32
 BUCKET = 48
+#: Shared variants (16 bytes each) that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -103,7 +105,9 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
     """
     if distance != 2:
         raise ValueError("two segments with one wildcard serve a distance of two bits")
-    index = _variants(prints)
+    # One row becomes 64, so the few bytes of the fingerprints are dealt out first.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = _variants(prints.repartition(parts, "print"))
     shared = (
         index.groupBy("variant")
         .agg(
@@ -116,9 +120,9 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
     shared = common.stored(shared, "variants")
     near = _apart(F.col("a"), F.col("b")) <= distance
     pairs = shared.filter("members = 2").filter(near).select("a", "b")
-    several = common.stored(
-        index.join(shared.filter("members > 2").select("variant", "members"), "variant"), "members"
-    )
+    more = shared.filter("members > 2").select("variant", "members")
+    more = F.broadcast(more) if more.count() <= BROADCAST_ROWS else more
+    several = common.stored(index.join(more, "variant"), "members")
     small = several.filter(F.col("members") <= bucket)
     one = small.select("variant", F.col("print").alias("a"))
     other = small.select("variant", F.col("print").alias("b"))
@@ -166,10 +170,11 @@ def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text")
     Rows without an id come after all others; among rows of the same id any one stays.
     """
     common.prepare(documents.sparkSession)
-    numbered = common.stored(documents.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    numbers = numbered.select(F.struct(F.col(key).alias("id"), "_row").alias("both"), text)
-    rows = common.stored(fingerprints(numbers, "both", text), "prints")
-    order = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key._row"))
+    numbered, number = common.numbered(documents)
+    both = F.struct(F.col(key).alias("id"), F.col(number).alias("row"))
+    prints = fingerprints(numbered.select(both.alias("both"), F.col(text).alias("text")), "both")
+    rows = common.stored(prints, "prints")
+    order = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.row").alias("row"))
     best = rows.groupBy("print").agg(F.min(order).alias("best"))
     kept = best.join(roots(rows), "print").groupBy("root").agg(F.min("best").alias("best"))
-    return numbered.join(kept.select("best._row"), "_row", "left_semi").drop("_row")
+    return numbered.join(kept.select(F.col("best.row").alias(number)), number, "left_semi").drop(number)
