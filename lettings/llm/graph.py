@@ -31,7 +31,7 @@ def _among_smaller(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``root``, the smallest node of its component, for every linked node.
+    """``node`` and ``root``, the smallest node of its component, for every linked node but roots.
 
     ``links`` has two long columns, ``a`` and ``b``; order, repeats, self-links and nulls do not
     matter. Nodes without links do not appear; no links give an empty frame.
