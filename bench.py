@@ -54,9 +54,11 @@ def write_extracts(spark, folder: str, parts: int) -> None:
 
 
 def main() -> None:
+    root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("BENCH_WORK", "/tmp"))
     spark = session.build(
         f"local[{CPUS}]",
         **{
+            "spark.checkpoint.dir": f"{root}/checkpoints",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": CPUS,
@@ -64,7 +66,6 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     write_extracts(spark, f"{root}/source", int(CPUS))
     times: dict[str, float] = {}
 

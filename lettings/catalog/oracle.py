@@ -476,7 +476,7 @@ def _version(alias: str, run: int) -> str:
 
 _HISTORY = f""" SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, {_ANCIENT} AS processed_at, {_ANCIENT} AS valid_from,
     CASE WHEN a.action = 'skip' THEN NULL ELSE {_RECENT} END AS valid_to, {_version('s', _ANCIENT)},
-    CASE WHEN a.action = 'skip' THEN {_ANCIENT} ELSE {_RECENT} END AS updated_at
+    {_ANCIENT} AS updated_at
   FROM stored s LEFT JOIN actions a USING (property_id)
 UNION ALL SELECT {_P.replace('property_id, ', 'i.property_id, ', 1)}, {_RECENT}, {_RECENT}, NULL, {_version('i', _RECENT)}, {_RECENT}
   FROM incoming i JOIN actions a USING (property_id) WHERE a.action <> 'skip'"""
@@ -486,20 +486,64 @@ def _overlap(one: str, two: str) -> str:
     return f"{one}.start_date <= {two}.end_date AND {two}.start_date <= {one}.end_date"
 
 
-_PLACEMENT = f""",
-request AS (SELECT * FROM agreement WHERE start_date > DATE '{AS_OF}'),
-stored AS (SELECT * FROM agreement WHERE start_date <= DATE '{AS_OF}'),
-wish AS (
-  SELECT r.agreement_id, r.house_id AS requested_house, r.start_date, r.end_date,
-    CASE WHEN NOT EXISTS (SELECT 1 FROM stored s WHERE s.house_id = r.house_id AND {_overlap('s', 'r')}) THEN r.house_id
-    ELSE (SELECT min(h.house_id) FROM house h JOIN house own ON own.house_id = r.house_id AND h.space_id = own.space_id
-      WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.house_id = h.house_id AND {_overlap('s', 'r')})) END AS target
-  FROM request r),
-judged AS (SELECT w.*, EXISTS (SELECT 1 FROM wish e WHERE e.target = w.target AND {_overlap('e', 'w')}
-    AND (e.start_date < w.start_date OR (e.start_date = w.start_date AND e.agreement_id < w.agreement_id))) AS contested FROM wish w)
-SELECT agreement_id, requested_house, CASE WHEN NOT contested THEN target END AS house_id, start_date, end_date,
-  CASE WHEN target IS NULL THEN 'REJECTED' WHEN contested THEN 'CONTESTED' WHEN target = requested_house THEN 'KEPT' ELSE 'MOVED' END AS placement
-FROM judged"""
+#: More waves than the houses of any space of the small tables need; requests left over would show.
+_WAVES = 14
+
+
+def _placement() -> str:
+    """Wave after wave: open requests ask, houses serve by start and id, the others ask again."""
+    parts = [
+        f""",
+open0 AS (SELECT agreement_id, house_id AS requested_house, start_date, end_date FROM agreement WHERE start_date > DATE '{AS_OF}'),
+booked0 AS (SELECT house_id, start_date, end_date FROM agreement WHERE start_date <= DATE '{AS_OF}')"""
+    ]
+    for n in range(1, _WAVES + 1):
+        free = "NOT EXISTS (SELECT 1 FROM booked{} b WHERE b.house_id = {} AND {})"
+        overlap = _overlap("b", "r")
+        parts.append(
+            f"""
+wish{n} AS MATERIALIZED (
+  SELECT r.*, CASE WHEN {free.format(n - 1, "r.requested_house", overlap)} THEN r.requested_house
+    ELSE (SELECT min(h.house_id) FROM house h JOIN house own ON own.house_id = r.requested_house AND h.space_id = own.space_id
+      WHERE {free.format(n - 1, "h.house_id", overlap)}) END AS target
+  FROM open{n - 1} r),
+chain{n} AS (
+  SELECT target, list_reduce(
+    list_prepend({{'s': NULL::DATE, 'e': DATE '0001-01-01', 'ids': []::BIGINT[]}},
+      list({{'s': start_date, 'e': end_date, 'ids': [agreement_id::BIGINT]}} ORDER BY start_date, agreement_id)),
+    lambda a, x: CASE WHEN x.s > a.e THEN {{'s': x.s, 'e': x.e, 'ids': list_concat(a.ids, x.ids)}} ELSE a END).ids AS ids
+  FROM wish{n} WHERE target IS NOT NULL GROUP BY target),
+granted{n} AS MATERIALIZED (SELECT unnest(ids) AS agreement_id FROM chain{n}),
+booked{n} AS MATERIALIZED (SELECT * FROM booked{n - 1} UNION ALL
+  SELECT target, start_date, end_date FROM wish{n} SEMI JOIN granted{n} USING (agreement_id)),
+open{n} AS MATERIALIZED (SELECT agreement_id, requested_house, start_date, end_date FROM wish{n}
+  ANTI JOIN granted{n} USING (agreement_id) WHERE target IS NOT NULL)"""
+        )
+    verdicts = " UNION ALL ".join(
+        f"""SELECT agreement_id, requested_house, target AS house_id, start_date, end_date,
+  CASE WHEN target IS NULL THEN 'REJECTED' WHEN target = requested_house THEN 'KEPT' ELSE 'MOVED' END AS placement
+FROM wish{n} ANTI JOIN open{n} USING (agreement_id)"""
+        for n in range(1, _WAVES + 1)
+    )
+    left = f"SELECT agreement_id, requested_house, NULL, start_date, end_date, 'OPEN' FROM open{_WAVES}"
+    return ",".join(parts) + f"\n{verdicts} UNION ALL {left}"
+
+
+def _trend(*by: str) -> str:
+    """Latest month of a group against the month before it in the whole mart."""
+    names = "".join(f"{name}, " for name in by)
+    same = "".join(f" AND p.{name} IS NOT DISTINCT FROM c.{name}" for name in by)
+    return _star(
+        f""", means AS (SELECT {names}agreement_month, CAST(sum(CAST(average_monthly_rent AS DECIMAL(18,2))) AS DOUBLE) / count(average_monthly_rent) AS m
+  FROM mart_rental_trends GROUP BY {names}agreement_month),
+before AS (SELECT agreement_month, lag(agreement_month) OVER (ORDER BY agreement_month) AS earlier
+  FROM (SELECT DISTINCT agreement_month FROM mart_rental_trends)),
+latest AS (SELECT {names}max(agreement_month) AS agreement_month FROM means{" GROUP BY " + names[:-2] if by else ""})
+SELECT {"".join(f"c.{name}, " for name in by)}c.m - coalesce(p.m, 0) AS rent_trend FROM latest l
+  JOIN means c ON c.agreement_month = l.agreement_month{"".join(f" AND c.{n} IS NOT DISTINCT FROM l.{n}" for n in by)}
+  JOIN before b ON b.agreement_month = c.agreement_month LEFT JOIN means p ON p.agreement_month = b.earlier{same}"""
+    )
+
 
 _REASSIGN = f""",
 active AS (SELECT * FROM agreement WHERE end_date > DATE '{AS_OF}'),
@@ -761,11 +805,9 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "FROM fact_payment JOIN dim_location USING (location_key) GROUP BY 1"
     ),
     "measure_expiring": _star("SELECT city, count(*) AS expiring_agreements FROM mart_expiring GROUP BY 1"),
-    "measure_rent_trend": _star(
-        """, means AS (SELECT region, agreement_month, CAST(sum(CAST(average_monthly_rent AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m,
-  row_number() OVER (PARTITION BY region ORDER BY agreement_month DESC) AS k FROM mart_rental_trends GROUP BY 1, 2)
-SELECT a.region, a.m - b.m AS rent_trend FROM means a LEFT JOIN means b ON a.region = b.region AND b.k = 2 WHERE a.k = 1"""
-    ),
+    "measure_rent_trend": _trend("region"),
+    "measure_rent_trend_by_city": _trend("city"),
+    "measure_rent_trend_total": _trend(),
     "legacy_q01": _legacy(
         "SELECT first_name, last_name, years FROM person JOIN owner USING (person_no) JOIN space ON owner_no = person_no WHERE area > 100"
     ),
@@ -872,5 +914,5 @@ SELECT agreement_id, CAST(greatest(rent, 1000) AS DOUBLE) AS rent, start_date, n
         f"SELECT a.agreement_id, a.house_id, a.start_date, a.end_date, count(*) AS conflicts FROM agreement a JOIN agreement b "
         f"ON a.house_id = b.house_id AND a.agreement_id <> b.agreement_id AND {_overlap('a', 'b')} GROUP BY ALL"
     ),
-    "free_house_assignment": _legacy(_PLACEMENT),
+    "free_house_assignment": _legacy(_placement()),
 }

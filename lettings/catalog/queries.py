@@ -504,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "measure_overdue_rate": _measure("overdue_rate", marts.payments_extract, "city"),
     "measure_expiring": _measure("expiring_agreements", _expiring, "city"),
     "measure_rent_trend": _measure("rent_trend", marts.mart_rental_trends_by_location, "region"),
+    "measure_rent_trend_by_city": _measure("rent_trend", marts.mart_rental_trends_by_location, "city"),
+    "measure_rent_trend_total": _measure("rent_trend", marts.mart_rental_trends_by_location),
     "legacy_q01": _legacy(legacy.owners_of_large_spaces),
     "legacy_q02": _legacy(legacy.spaces_of_experienced_owners),
     "legacy_q03": _legacy(legacy.surnames_with_one_space),

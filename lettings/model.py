@@ -115,9 +115,8 @@ class PipelineError(RuntimeError):
 
 
 class BatchRejected(PipelineError):
-    """A strict batch that holds at least one invalid record."""
+    """A strict batch with invalid records: their number and the first few, one to a line."""
 
-    def __init__(self, total: int, preview: list[str]) -> None:
-        self.total = total
-        rest = f"; and {total - len(preview)} more" if total > len(preview) else ""
-        super().__init__(f"Validation failed with {total} issue(s): {'; '.join(preview)}{rest}")
+    def __init__(self, total: int, first: list[str]) -> None:
+        super().__init__("\n".join([f"{total} invalid record(s), of which the first are:", *first]))
+        self.total, self.first = total, first

@@ -44,7 +44,7 @@ def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFram
 
     Open versions meet the current records in one full outer join on the key, which is unique
     on both sides; closed versions pass through. A changed or vanished key closes its open
-    version, a changed or new (or returning) key opens one.
+    version (only its end changes), a changed or new (or returning) key opens one.
     """
     closed = history.filter(F.col("valid_to").isNotNull())
     old = history.filter(F.col("valid_to").isNull()).select(
@@ -63,7 +63,7 @@ def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFram
         *[F.col(f"_old.{name}").alias(name) for name in (*COLUMNS, "valid_from")],
         F.when(ended, run_at).otherwise(F.col("_old.valid_to")).alias("valid_to"),
         F.col("_old.version_id").alias("version_id"),
-        F.when(ended, run_at).otherwise(F.col("_old.updated_at")).alias("updated_at"),
+        F.col("_old.updated_at").alias("updated_at"),
     )
     new_row = F.struct(
         *[F.col(f"_new.{name}").alias(name) for name in COLUMNS],

@@ -58,26 +58,25 @@ def conflict_counts(
     )
 
 
-def overlapped_by_earlier(frame: DataFrame, key: str, identifier: str, name: str) -> DataFrame:
-    """Flag intervals that overlap an earlier one of the same key.
+def granted_chain(frame: DataFrame, key: str, identifier: str) -> DataFrame:
+    """Identifiers of the intervals that each key grants, served by start and then identifier.
 
-    Earlier means an earlier start, then a smaller identifier.
+    An interval is granted if it starts after the end of the last granted one. Of those that start
+    on one day only the first can be, so a key has one row per start day at most before its chain
+    is followed, and the list of a hot key is bounded by the calendar.
     """
-    starts = frame.groupBy(key, "start_date").agg(
-        F.max("end_date").alias("_reach"), F.min(identifier).alias("_first")
+    first = frame.groupBy(key, "start_date").agg(
+        F.min_by("end_date", identifier).alias("end_date"), F.min(identifier).alias(identifier)
     )
-    before = (
-        Window.partitionBy(key).orderBy("start_date").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    profile = starts.select(
-        key, "start_date", "_first", F.max("_reach").over(before).alias("_covered")
-    )
-    earlier = F.coalesce(F.col("_covered") >= F.col("start_date"), F.lit(False))
-    return (
-        frame.join(profile, [key, "start_date"])
-        .withColumn(name, earlier | (F.col(identifier) != F.col("_first")))
-        .select(*frame.columns, name)
+    served = F.sort_array(F.collect_list(F.struct("start_date", "end_date", identifier)))
+    chains = first.groupBy(key).agg(served.alias("_served"))
+    kind = frame.schema[identifier].dataType.simpleString()
+    granted = F.expr(
+        f"""aggregate(_served, named_struct('e', cast(null as date), 'ids', cast(array() as array<{kind}>)),
+          (a, x) -> if(a.e is null or x.start_date > a.e,
+            named_struct('e', x.end_date, 'ids', concat(a.ids, array(x.{identifier}))), a), a -> a.ids)"""
     )
+    return chains.select(F.explode(granted).alias(identifier))
 
 
 def free_gaps(keys: DataFrame, booked: DataFrame, key: str) -> DataFrame:

@@ -41,32 +41,38 @@ def rent_trend(
 ) -> DataFrame:
     """Mean rent of the latest visible month minus that of the month before it.
 
-    ``where`` filters city or region and applies to both months; ``month`` filters only which
-    months are visible, so the previous month may lie outside it. Means are unweighted over
-    locations. Monthly means come first: what follows is bounded by the number of months.
+    The month before is the last earlier one of the whole model, whatever the groups and filters
+    are; a group without rent in it counts with zero there, and so does the model's first month.
+    ``where`` filters city or region, ``month`` which months are visible. Means are unweighted over
+    locations. Monthly means come first: what follows is bounded by groups times months.
     """
     scope = trends if where is None else trends.filter(where)
     visible = F.lit(True) if month is None else month
     groups = [name for name in by if name != "agreement_month"]
-    monthly = scope.groupBy(*groups, "agreement_month").agg(
-        F.sum("average_monthly_rent").alias("_sum"),
-        F.count("average_monthly_rent").alias("_n"),
-        F.max(F.when(visible, F.lit(True))).alias("_visible"),
+    means = scope.groupBy(*groups, "agreement_month").agg(
+        (F.sum("average_monthly_rent").cast("double") / F.count("average_monthly_rent")).alias("_mean")
+    )
+    seen = means.filter(visible)
+    if "agreement_month" not in by:
+        seen = seen.groupBy(*groups).agg(
+            F.max_by("_mean", "agreement_month").alias("_mean"),
+            F.max("agreement_month").alias("agreement_month"),
+        )
+    # One row per month of the calendar.
+    months = trends.select("agreement_month").distinct()
+    in_order = Window.orderBy("agreement_month")
+    before = months.select(
+        F.col("agreement_month").alias("_month"), F.lag("agreement_month").over(in_order).alias("_before")
+    )
+    earlier = means.select(
+        *[F.col(name).alias(f"_{name}") for name in groups],
+        F.col("agreement_month").alias("_earlier"),
+        F.col("_mean").alias("_previous"),
+    )
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in groups]
+    matched = reduce(lambda x, y: x & y, same, F.col("_before") == F.col("_earlier"))
+    return (
+        seen.join(before, F.col("agreement_month") == F.col("_month"), "left")
+        .join(earlier, matched, "left")
+        .select(*by, (F.col("_mean") - F.coalesce("_previous", F.lit(0.0))).alias("rent_trend"))
     )
-    in_order = Window.partitionBy(*groups).orderBy("agreement_month")
-    mean = F.col("_sum").cast("double") / F.col("_n")
-    changes = monthly.select(
-        *groups,
-        "agreement_month",
-        "_visible",
-        (mean - F.lag(mean).over(in_order)).alias("rent_trend"),
-    ).filter("_visible")
-    if "agreement_month" in by:
-        return changes.select(*by, "rent_trend")
-    latest = F.max_by("rent_trend", "agreement_month").alias("rent_trend")
-    return changes.groupBy(*groups).agg(latest)
-
-
-def measures_by(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
-    """Put several measures of the same grouping side by side."""
-    return reduce(lambda left, right: left.join(right, list(by), "full_outer"), frames)

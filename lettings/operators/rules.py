@@ -234,7 +234,10 @@ def typed(entity: Entity | str, raw: DataFrame) -> DataFrame:
     stamp = F.col("source_timestamp")
     columns["source_timestamp"] = casts.to_instant(stamp)
     columns["_missing"] = missing_fields(spec)
-    columns["_unzoned"] = stamp.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+)?$")
+    valid_but_offset = casts.to_instant(F.concat(stamp, F.lit("Z"))).isNotNull()
+    columns["_unzoned"] = casts.to_instant(stamp).isNull() & (
+        valid_but_offset | casts.to_date(stamp).isNotNull()
+    )
     if spec.name == "properties":
         columns["_integer"] = casts.integer_shaped(F.col("bedrooms"))
     return evaluated(stripped, columns, ROW, RAW, *extra)

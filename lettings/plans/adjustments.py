@@ -7,7 +7,6 @@ is always the ``as_of`` argument.
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,9 +17,10 @@ from lettings.operators.intervals import (
     conflict_counts,
     first_fitting,
     free_gaps,
-    overlapped_by_earlier,
+    granted_chain,
 )
 from lettings.operators.ranking import earlier_total, position
+from lettings.session import shared_folder
 
 MONEY = "decimal(12,2)"
 
@@ -288,78 +288,63 @@ def overlapping_agreements(agreements: DataFrame, *, as_of: Column) -> DataFrame
 def free_house_assignment(
     requests: DataFrame, stored: DataFrame, houses: DataFrame, *, as_of: Column
 ) -> DataFrame:
-    """Judge requested agreements against stored ones; move them to a free house if needed.
-
-    ``placement`` is KEPT (own house free), MOVED (to the first free house of the same space) or
-    REJECTED (no house of the space is free). Every request is judged as if it arrived alone.
-    Where two requests of one batch then want the same house on the same day, the earlier (by
-    start, then id) has it and the other is CONTESTED: it has to be judged again once the winner
-    is stored, see ``settle_requests``.
+    """Judge requested agreements against stored ones and each other; all get a verdict.
+
+    ``placement`` is KEPT (own house), MOVED (to the first free house of the same space) or REJECTED
+    (no house of the space is free). In a wave every open request asks for its own house if that is
+    free and for the first free one of its space otherwise, and each house serves those that ask by
+    start and then id. Whoever overlaps a granted request asks again in the next wave, when that house
+    is taken; so waves are bounded by the houses of a space, however many requests fight for one.
+    Waves are cut by checkpoints in the shared folder.
     """
-    bounded = _closed(stored, as_of).select("house_id", "start_date", "end_date")
-    period = requests.select("agreement_id", "house_id", "start_date", "end_date")
-    counted = conflict_counts(period, bounded, "house_id")
+    shared_folder(requests.sparkSession)
+    booked = _closed(stored, as_of).select("house_id", "start_date", "end_date")
+    waiting = requests.select("agreement_id", "house_id", "start_date", "end_date")
+    settled: list[DataFrame] = []
+    while True:
+        judged = _wave(waiting, booked, houses).checkpoint()
+        settled.append(judged.filter("placement is not null"))
+        again = judged.filter("placement is null")
+        if again.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
+        granted = judged.filter("placement in ('KEPT', 'MOVED')").select(*booked.columns)
+        booked = booked.unionByName(granted).checkpoint()
+        waiting = again.select(
+            "agreement_id", F.col("requested_house").alias("house_id"), "start_date", "end_date"
+        )
+
+
+def _wave(waiting: DataFrame, booked: DataFrame, houses: DataFrame) -> DataFrame:
+    """One wave of requests; ``placement`` is NULL for those that have to ask again."""
+    counted = conflict_counts(waiting, booked, "house_id").checkpoint()
     space = houses.select("house_id", "space_id")
     days = {"day_from": F.unix_date("start_date"), "day_to": F.unix_date("end_date")}
-    horizon = period.select(days["day_from"].alias("day_from"))
     blocked = counted.filter("conflicts > 0").join(space, "house_id").withColumns(days)
-    gaps = free_gaps(space.select("house_id"), bounded, "house_id").join(space, "house_id")
+    gaps = free_gaps(space.select("house_id"), booked, "house_id").join(space, "house_id")
     found = first_fitting(
-        blocked, gaps.withColumnRenamed("house_id", "_free"), "space_id", "_free", horizon=horizon
+        blocked,
+        gaps.withColumnRenamed("house_id", "_free"),
+        "space_id",
+        "_free",
+        horizon=counted.select(days["day_from"].alias("day_from")),
     )
-    moved = blocked.join(found, ["space_id", "day_from", "day_to"], "left").select(
-        *period.columns, "_free"
+    columns = waiting.columns
+    moved = blocked.join(found, ["space_id", "day_from", "day_to"], "left").select(*columns, "_free")
+    kept = counted.filter("conflicts = 0").select(*columns, F.col("house_id").alias("_free"))
+    asked = moved.unionByName(kept).checkpoint()
+    wanted = asked.filter(F.col("_free").isNotNull()).select(
+        F.col("_free").alias("_house"), "agreement_id", "start_date", "end_date"
     )
-    kept = counted.filter("conflicts = 0").select(
-        *period.columns, F.col("house_id").alias("_free")
-    )
-    placed = moved.unionByName(kept).withColumn("_target", F.col("_free"))
-    contest = overlapped_by_earlier(
-        placed.filter(F.col("_target").isNotNull()), "_target", "agreement_id", "_contested"
-    )
-    homeless = placed.filter(F.col("_target").isNull()).withColumn("_contested", F.lit(False))
+    granted = granted_chain(wanted, "_house", "agreement_id").withColumn("_granted", F.lit(True))
     free = F.col("_free")
-    return contest.unionByName(homeless).select(
+    return asked.join(granted, "agreement_id", "left").select(
         "agreement_id",
         F.col("house_id").alias("requested_house"),
-        F.when(~F.col("_contested"), free).alias("house_id"),
+        F.when(F.col("_granted"), free).alias("house_id"),
         "start_date",
         "end_date",
         F.when(free.isNull(), F.lit("REJECTED"))
-        .when(F.col("_contested"), F.lit("CONTESTED"))
-        .when(free == F.col("requested_house"), F.lit("KEPT"))
-        .otherwise(F.lit("MOVED"))
+        .when(F.col("_granted") & (free == F.col("house_id")), F.lit("KEPT"))
+        .when(F.col("_granted"), F.lit("MOVED"))
         .alias("placement"),
     )
-
-
-def settle_requests(
-    requests: DataFrame, stored: DataFrame, houses: DataFrame, *, as_of: date
-) -> DataFrame:
-    """Repeat ``free_house_assignment`` until no request is contested.
-
-    Equals inserting the requests one by one in the order of the rounds. Each round stores its
-    winners, at least one per contested house, so it ends; rounds are cut by checkpoints in the
-    shared folder.
-    """
-    from lettings.session import shared_folder
-
-    shared_folder(requests.sparkSession)
-    today = F.lit(as_of)
-    booked = stored.select("house_id", "start_date", "end_date")
-    open_requests = requests.select("agreement_id", "house_id", "start_date", "end_date")
-    settled: list[DataFrame] = []
-    while True:
-        judged = free_house_assignment(
-            open_requests, booked, houses, as_of=today
-        ).checkpoint()
-        settled.append(judged.filter("placement != 'CONTESTED'"))
-        again = judged.filter("placement = 'CONTESTED'")
-        if again.isEmpty():
-            return reduce(DataFrame.unionByName, settled)
-        booked = booked.unionByName(
-            judged.filter("placement in ('KEPT', 'MOVED')").select(*booked.columns)
-        )
-        open_requests = again.select(
-            "agreement_id", F.col("requested_house").alias("house_id"), "start_date", "end_date"
-        )

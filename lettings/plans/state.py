@@ -1,8 +1,9 @@
 """Versioned current state: incremental load, audit, rejection history, replay.
 
-A load writes the entities it changes to new folders and then appends one row per entity to the
-``versions`` table, in a single one-file append. Readers follow the last complete version, so a
-load is all or nothing and nothing is overwritten while it is read. Unchanged entities keep
+A load writes the entities it changes to new folders, checks the constraints of the state to be, and
+then creates the next version's folder with one row per entity. Readers follow the last version, so
+a load is all or nothing and nothing is overwritten while it is read. Of two loads from one version
+the one with the lower attempt number counts, for every reader, and the other fails. Unchanged entities keep
 pointing at their old folder; a replay of the same batch writes no data at all.
 """
 
@@ -65,7 +66,9 @@ class StateStore:
         versions = self._table("versions", VERSIONS)
         last = versions.agg(F.max("version").alias("v")).scalar()
         rows = versions.filter(F.col("version") == last).collect()
-        return (rows[0].version if rows else 0), {row.entity: row.path for row in rows if row.path}
+        winner = min((row.attempt for row in rows), default=0)
+        paths = {row.entity: row.path for row in rows if row.path and row.attempt == winner}
+        return (rows[0].version if rows else 0), paths
 
     def read(self) -> dict[str, DataFrame]:
         _, paths = self.manifest()
@@ -86,7 +89,9 @@ class StateStore:
         Only attempts that were committed count, so a failed load leaves nothing behind.
         """
         schema = T.StructType([*QUARANTINE, T.StructField("attempt", T.LongType())])
-        committed = self._table("versions", VERSIONS).select("attempt", "version").distinct()
+        committed = (
+            self._table("versions", VERSIONS).groupBy("version").agg(F.min("attempt").alias("attempt"))
+        )
         stored = self._table("rejections", schema).join(committed, "attempt")
         return upsert.latest_per_key(
             stored, upsert.REJECTION_KEY, F.desc("version"), F.desc("source_row")
@@ -130,6 +135,8 @@ class StateStore:
             counted = metrics[name]
             if counted.inserted_count or counted.updated_count:
                 written[name] = self._write(name, attempt, accepted, current, name in paths)
+        if written != dict(paths):
+            self._require_constraints({name: self._entity(name, written) for name in ENTITIES})
         self._commit(following, written, batch_id, attempt)
         return {
             column: sum(row[column] for row in metrics.values())
@@ -151,13 +158,28 @@ class StateStore:
         merged.write.parquet(path)
         return path
 
+    def _require_constraints(self, following: Mapping[str, DataFrame]) -> None:
+        """Keys, parents and checks of the state to be; a violation leaves the old one current."""
+        broken = upsert.constraint_violations(following).filter("violations > 0").collect()
+        if broken:
+            named = ", ".join(f"{row.entity}.{row.constraint} ({row.violations})" for row in broken)
+            raise PipelineError(f"The load breaks constraints: {named}")
+
     def _commit(
         self, version: int, paths: Mapping[str, str], batch_id: str, attempt: int
     ) -> None:
-        rows = [(version, name, paths.get(name), batch_id, attempt) for name in ENTITIES]
-        self.spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/versions"
-        )
+        place = f"{self.root}/versions/version={version}"
+        rows = [(name, paths.get(name), batch_id, attempt) for name in ENTITIES]
+        schema = VERSIONS.removeprefix("version long, ")
+        try:
+            self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("error").parquet(place)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise PipelineError(f"Another load has made version {version}; load again") from error
+        winner = self._table("versions", VERSIONS).filter(F.col("version") == version)
+        if winner.agg(F.min("attempt")).first()[0] != attempt:
+            raise PipelineError(f"Another load has made version {version}; load again")
 
     # --- audit ---------------------------------------------------------------------------------
 

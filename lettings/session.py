@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from lettings.model import PipelineError
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,9 +36,16 @@ def build(master: str | None = None, **extra: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for sessions that name none."""
+    """The checkpoint folder that all executors share.
+
+    A session on one machine that names none gets a temporary one; on a cluster that is an error,
+    since each executor would write to its own disk.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise PipelineError("Set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lettings-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -28,7 +28,7 @@ SPLIT = ["_file", "_block"]
 def stamped(frame: DataFrame) -> DataFrame:
     """Mark each record of a text scan with its split and an ascending number inside it."""
     return frame.select(
-        "*",
+        *[name for name in frame.columns if name != "_metadata"],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
@@ -56,9 +56,6 @@ def with_source_rows(records: DataFrame, shifts: DataFrame) -> DataFrame:
 def numbered_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table with its row position as ``source_row``; row groups carry the index."""
     frame = spark.read.parquet(path)
-    files = frame.inputFiles()
-    if len(files) == 1:
-        return frame.select("*", (F.col("_metadata.row_index") + 1).alias(ROW))
     sizes = frame.groupBy(F.col("_metadata.file_path").alias("_file")).agg(
         F.count(F.lit(1)).alias("_size")
     )
@@ -77,22 +74,42 @@ def numbered_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str, entity: Entity, multiline: bool) -> DataFrame:
-    if entity.extract == "csv":
+    """The text columns of an extract, and ``MALFORMED`` with the text of unreadable records."""
+    schema = T.StructType([*entity.raw_schema, T.StructField(MALFORMED, T.StringType())])
+    if entity.extract != "csv":
         return (
-            spark.read.schema(entity.raw_schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", multiline)
-            .csv(path)
+            spark.read.schema(schema)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .json(path)
         )
-    schema = T.StructType([*entity.raw_schema, T.StructField(MALFORMED, T.StringType())])
-    return (
-        spark.read.schema(schema)
+    # Columns are found by name: the schema follows the header, extra columns are left out and
+    # absent ones are null. Files of one extract must have one header; another one is an error.
+    header = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    names = [*header, MALFORMED]
+    frame = (
+        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
-        .json(path)
+        .csv(path)
     )
+    wanted = [
+        F.col(f"`{name}`") if name in header else F.lit(None).cast("string").alias(name)
+        for name in entity.raw
+    ]
+    return frame.select(*wanted, MALFORMED, "_metadata")
+
+
+def require_whole_records(records: DataFrame, path: str) -> None:
+    """Fail on records that a line break inside quotes has torn: they hold an open quote."""
+    open_quote = F.length(F.regexp_replace(MALFORMED, '[^"]', "")) % 2 == 1
+    # With all columns: Spark refuses a scan for the unreadable text alone.
+    if records.filter(open_quote).head(1):
+        raise PipelineError(f"Line breaks inside quotes in {path}: read it with multiline=True")
 
 
 def read_extract(
@@ -106,6 +123,10 @@ def read_extract(
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     try:
         records = stamped(_read(spark, path, spec, multiline))
+        if spec.extract == "csv":
+            if not multiline:
+                require_whole_records(records, path)
+            records = records.drop(MALFORMED)
         return with_source_rows(records, split_shifts(records))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -144,6 +165,8 @@ def ingest(
                 raise PipelineError(f"Required source file does not exist: {extract}") from error
             raise
         records.write.mode("overwrite").parquet(path)
+        if spec.extract == "csv" and not multiline:
+            require_whole_records(spark.read.parquet(path), extract)
         shifts = split_shifts(spark.read.parquet(path).select(*SPLIT, "_id"))
         shifts.write.mode("overwrite").parquet(splits)
     return read_landed(spark, bronze, batch_id)
@@ -158,6 +181,8 @@ def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, Da
             records, shifts = spark.read.parquet(path), spark.read.parquet(splits)
         except AnalysisException as error:
             raise PipelineError(f"Required Bronze data does not exist: {path}") from error
+        if ENTITIES[name].extract == "csv":  # short records lack fields, which the rules report
+            records = records.drop(MALFORMED)
         landed[name] = with_source_rows(records, shifts)
     return landed
 

@@ -118,3 +118,9 @@ def summarise_written(spark: SparkSession, lake: Lake, batch_id: str) -> DataFra
         for name, frame in parts.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder of our own, wherever it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

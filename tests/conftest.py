@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lettings-tests-"),
         },
     )
     built.sparkContext.setLogLevel("ERROR")

@@ -58,60 +58,45 @@ def test_conflict_counts_against_brute_force(spark):
 
 
 def place(asked, booked, houses):
-    """Row-at-a-time judgement of each request, then the contest for equal targets."""
-    wish = {}
-    for r in asked:
-        def free(house, r=r):
-            return not any(b[1] == house and overlap(b, r) for b in booked)
-
-        space = dict(houses)[r[1]]
-        options = sorted(h for h, s in houses if s == space and free(h))
-        wish[r[0]] = r[1] if free(r[1]) else (options[0] if options else None)
-    result = {}
-    for r in asked:
-        target = wish[r[0]]
-        beaten = any(
-            wish[e[0]] == target and overlap(e, r) and (e[2], e[0]) < (r[2], r[0]) for e in asked
-        )
-        if target is None:
-            result[r[0]] = ("REJECTED", None)
-        elif beaten:
-            result[r[0]] = ("CONTESTED", None)
-        else:
-            result[r[0]] = ("KEPT" if target == r[1] else "MOVED", target)
+    """Waves of requests, each house serving by start and id; plain loops over all pairs."""
+    space, taken = dict(houses), [(h, s, e) for _, h, s, e in booked]
+    result, waiting = {}, sorted(asked, key=lambda r: (r[2], r[0]))
+
+    def free(house, r):
+        return not any(h == house and s <= r[3] and r[2] <= e for h, s, e in taken)
+
+    while waiting:
+        wishes = [
+            (r, r[1] if free(r[1], r) else min((h for h in space if space[h] == space[r[1]] and free(h, r)), default=None))
+            for r in waiting
+        ]
+        waiting, granted = [], []
+        for r, house in wishes:
+            if house is None:
+                result[r[0]] = ("REJECTED", None)
+            elif any(h == house and s <= r[3] and r[2] <= e for h, s, e in granted):
+                waiting.append(r)
+            else:
+                granted.append((house, r[2], r[3]))
+                result[r[0]] = ("KEPT" if house == r[1] else "MOVED", house)
+        taken += granted
     return result
 
 
 def test_free_house_assignment_against_brute_force(spark):
     houses = [(h, h // 4) for h in range(12)]
-    booked, asked = random_intervals(3, 260, 10), random_intervals(4, 90, 12)
+    booked, asked = random_intervals(3, 120, 10), random_intervals(4, 140, 12)
     ddl = "agreement_id long, house_id long, start_date date, end_date date"
-    found = adjustments.free_house_assignment(
+    rows = adjustments.free_house_assignment(
         spark.createDataFrame(asked, ddl),
         spark.createDataFrame(booked, ddl),
         spark.createDataFrame(houses, "house_id long, space_id long"),
         as_of=F.lit(day(0)),
     ).collect()
     expected = place(asked, booked, houses)
-    assert {row.agreement_id: (row.placement, row.house_id) for row in found} == expected
-    assert {state for state, _ in expected.values()} == {"KEPT", "MOVED", "CONTESTED", "REJECTED"}
-
-
-def test_settled_requests_never_overlap(spark):
-    houses = [(h, 0) for h in range(4)]
-    asked = [(i, 0, day(i % 3), day(i % 3 + 4)) for i in range(6)]
-    booked = [(0, 1, day(0), day(30))]
-    ddl = "agreement_id long, house_id long, start_date date, end_date date"
-    found = adjustments.settle_requests(
-        spark.createDataFrame(asked, ddl),
-        spark.createDataFrame(booked, ddl),
-        spark.createDataFrame(houses, "house_id long, space_id long"),
-        as_of=day(0),
-    ).collect()
-    assert sorted(row.agreement_id for row in found) == list(range(6))
-    placed = [row for row in found if row.house_id is not None]
-    assert sorted(row.house_id for row in placed) == [0, 2, 3]
-    assert {row.placement for row in found} == {"KEPT", "MOVED", "REJECTED"}
+    assert len(rows) == len(asked)
+    assert {row.agreement_id: (row.placement, row.house_id) for row in rows} == expected
+    assert {state for state, _ in expected.values()} == {"KEPT", "MOVED", "REJECTED"}
 
 
 def test_sticky_month_end(spark):
@@ -184,10 +169,23 @@ def test_rent_trend_finds_the_previous_month_outside_the_filter(spark):
     assert measures.rent_trend(trends).first().rent_trend == 70.0 - 28.0
     march = F.col("agreement_month") == date(2024, 3, 1)
     assert measures.rent_trend(trends, month=march).first().rent_trend == 28.0 - 15.0
+    # The month before April is March for every city; before January there is none.
     by_city = {r.city: r.rent_trend for r in measures.rent_trend(trends, by=["city"]).collect()}
     assert by_city == {"a": 6.0, "b": 30.0}
     by_month = measures.rent_trend(trends, by=["agreement_month"]).collect()
-    assert {r.agreement_month.month: r.rent_trend for r in by_month} == {1: None, 3: 13.0, 4: 42.0}
+    assert {r.agreement_month.month: r.rent_trend for r in by_month} == {1: 15.0, 3: 13.0, 4: 42.0}
+
+
+def test_rent_trend_takes_the_previous_month_from_the_whole_model(spark):
+    rows = [("a", 1, 10.0), ("a", 4, 16.0), ("b", 3, 5.0), ("b", 4, 9.0), (None, 1, 3.0), (None, 3, 2.0)]
+    trends = spark.createDataFrame(
+        [(c, date(2024, m, 1), v) for c, m, v in rows],
+        "city string, agreement_month date, average_monthly_rent double",
+    )
+    by_city = {r.city: r.rent_trend for r in measures.rent_trend(trends, by=["city"]).collect()}
+    assert by_city == {"a": 16.0, "b": 4.0, None: -1.0}
+    only = measures.rent_trend(trends, where=F.col("city") == "a").collect()
+    assert [r.rent_trend for r in only] == [16.0]
 
 
 def test_checks_find_violations(spark):

@@ -66,7 +66,7 @@ def test_five_batches(spark, tmp_path):
         "ORPHAN_OWNER": 1,
     }
     assert states.rejections().count() == 8
-    assert states.read()["locations"].filter("city = 'Warsaw'").count() == 1
+    assert states.read()["locations"].filter("city = 'Kiel'").count() == 1
 
     again = pipeline.load_batch(spark, root, "bad")
     assert tuple(again[n] for n in NAMES) == (96, 88, 8, 0, 0, 88)
@@ -180,3 +180,52 @@ def test_fingerprint_ignores_metadata(spark, tmp_path):
         return sorted(row.record_fingerprint for row in parts["payments"].accepted.collect())
 
     assert prints(first, "a") == prints(second, "b")
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    data = extracts.rows(2)
+    owners = [{"email": r["email"], "note": "x", "full_name": r["full_name"], "owner_id": r["owner_id"]} for r in data["owners"]]
+    folder = extracts.write(f"{tmp_path}/in", {**data, "owners": owners})
+    batch = bronze.read_bronze(spark, folder)
+    assert [(r.owner_id, r.full_name, r.source_timestamp) for r in batch["owners"].collect()] == [("OWN-0", "Own No 0", None)]
+    landed = bronze.ingest(spark, folder, f"{tmp_path}/bronze", "b")
+    assert landed["owners"].columns == batch["owners"].columns
+    parts = pipeline.quality.assess(landed, batch_id="b", processed_at=F.current_timestamp())
+    assert [r.reason_code for r in parts["owners"].rejected.collect()] == ["MISSING_REQUIRED_FIELD"]
+
+
+def test_line_breaks_in_quotes_are_read_or_refused(spark, tmp_path):
+    data = extracts.rows(4)
+    data["owners"][0]["full_name"] = "Ann\nB"
+    data["tenants"][1]["email"] = "t\n@mail.test"
+    folder = extracts.write(f"{tmp_path}/in", data)
+    with pytest.raises(PipelineError, match="multiline"):
+        bronze.read_bronze(spark, folder)
+    with pytest.raises(PipelineError, match="multiline"):
+        pipeline.run_batch(spark, folder, f"{tmp_path}/lake", batch_id="torn")
+    done = pipeline.run_batch(spark, folder, f"{tmp_path}/lake", batch_id="whole", multiline=True)
+    assert done.counts["input_count"] == sum(map(len, data.values()))
+
+
+def test_a_load_that_breaks_constraints_makes_no_version(spark, tmp_path):
+    root = f"{tmp_path}/lake"
+    pipeline.run_batch(spark, extracts.write(f"{tmp_path}/in", extracts.rows(2)), root, batch_id="b1")
+    states = StateStore(spark, Lake(root).state)
+    good = lake.read_silver_batch(spark, Lake(root), "b1")
+    orphans = good["payments"].withColumn("agreement_id", F.lit("NONE")).withColumn("record_fingerprint", F.lit("x"))
+    rejected = lake.read_quarantine(spark, Lake(root), "b1")
+    before = states.manifest()
+    with pytest.raises(PipelineError, match="foreign_key_agreement_id"):
+        states.load({**good, "payments": orphans}, rejected, "b2")
+    assert states.manifest() == before
+
+
+def test_of_two_loads_from_one_version_one_commits(spark, tmp_path):
+    root = f"{tmp_path}/lake"
+    pipeline.run_batch(spark, extracts.write(f"{tmp_path}/in", extracts.rows(2)), root, batch_id="b1")
+    states = StateStore(spark, Lake(root).state)
+    version, paths = states.manifest()
+    states._commit(version + 1, paths, "one", 5)
+    with pytest.raises(PipelineError, match="Another load"):
+        states._commit(version + 1, paths, "two", 6)
+    assert states.manifest() == (version + 1, paths)
