@@ -9,11 +9,14 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch; texts of 100 kB then stay below some 50 MB.
-BATCH_ROWS = 512
+#: Rows of one Arrow batch; texts of 100 kB then stay below some 25 MB.
+BATCH_ROWS = 256
+#: Row numbers that are broadcast at most (some 30 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 _own_folder: dict[str, str] = {}
 
 
@@ -46,12 +49,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def placed(documents: DataFrame, name: str, *columns: Column) -> DataFrame:
+    """Some columns and, as ``name``, the row's place (``file``, ``row``) in the stored files.
+
+    A place stays the same however often and in which tasks the files are read; the file is known
+    by a 64-bit hash of its path. Rows that do not come straight from files are stored first.
+    """
+    file, row = F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    place = F.struct(file, row).alias(name)
+    try:
+        return documents.select(place, *columns)
+    except AnalysisException:
+        return stored(documents, "rows").select(place, *columns)
+
+
 def numbered(documents: DataFrame) -> tuple[DataFrame, str]:
-    """The stored rows with a number in a new column, and that column's name."""
+    """The rows with their place in a new column, and that column's name."""
     name = "row_number"
     while name in {column.lower() for column in documents.columns}:
         name = f"_{name}"
-    return stored(documents.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+    return placed(documents, name, *[F.col(f"`{column}`") for column in documents.columns]), name
+
+
+def without(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not among the dropped ones; the number goes.
+
+    Few dropped rows are broadcast, after a check of their count, so that texts are not shuffled.
+    """
+    dropped = stored(dropped.select(number), "dropped")
+    if dropped.count() <= BROADCAST_ROWS:
+        dropped = F.broadcast(dropped)
+    return rows.join(dropped, number, "left_anti").drop(number)
 
 
 def row_numbers() -> Iterator[int]:

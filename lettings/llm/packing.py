@@ -35,7 +35,7 @@ VOCABULARY = "word_bpe_49k.json"
 LENGTH = 4096
 END = 1
 GROUP = 40_000
-CACHE = 700_000
+CACHE = 300_000
 LONGEST_CACHED = 48
 #: Marks at the end of a word; they never join with its letters.
 MARKS = ".,;:!?|$%&*#"

@@ -270,7 +270,7 @@ def accepted(
     stats = measured(rows.select(both.alias("both"), F.col(text).alias("text")), "both")
     model = fit(stats.select(F.col("key.id").alias("key"), "stats"), labels)
     scores = stats.select(F.col("key.row").alias("key"), "stats").mapInArrow(
-        _scoring(model), "key long, score double"
+        _scoring(model), f"key {rows.schema[number].dataType.simpleString()}, score double"
     )
-    kept = scores.filter(F.col("score") >= THRESHOLD).select(F.col("key").alias(number))
-    return rows.join(kept, number, "left_semi").drop(number)
+    rejected = scores.filter(F.col("score") < THRESHOLD)
+    return common.without(rows, number, rejected.select(F.col("key").alias(number)))

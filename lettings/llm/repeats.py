@@ -33,7 +33,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -325,20 +324,11 @@ def _remove(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _numbered(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows with their place in the stored files, which stays the same however often they are read."""
-    place = (F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    wanted = (F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    try:
-        return documents.select(*place, *wanted)
-    except AnalysisException:  # not a plain read of files
-        return common.stored(documents.select(*wanted), "texts").select(*place, "key", "text")
-
-
 def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Bytes, bytes removed, removed runs, digest of the rest and the runs' bounds, for every row."""
     common.prepare(documents.sparkSession)
-    rows = _numbered(documents, key, text)
+    wanted = (F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = common.placed(documents, "place", *wanted).select("place.*", "key", "text")
     runs = common.stored(
         rows.select("file", "row", "text").mapInArrow(
             _find_runs,
@@ -348,7 +338,8 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
     mixed = (F.min("digest") != F.max("digest")) | F.max("twice")
     shared = runs.groupBy("digit").agg(F.count(F.lit(1)).alias("total"), mixed.alias("mixed"))
-    shared = shared.filter("total > 1 or mixed").select("digit", "mixed")
+    # Stored, so that the join with it has no other work on the digit and hot digits can be split.
+    shared = common.stored(shared.filter("total > 1 or mixed").select("digit", "mixed"), "digits")
     runs = common.stored(runs.join(shared, "digit"), "shared")
     place = F.struct("file", "row", "start", "windows")
     kinds = runs.groupBy("digit", "digest", "mixed").agg(

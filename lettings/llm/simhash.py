@@ -105,9 +105,10 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
     """
     if distance != 2:
         raise ValueError("two segments with one wildcard serve a distance of two bits")
-    # One row becomes 64, so the few bytes of the fingerprints are dealt out first.
+    # One row becomes 64, so the few bytes of the fingerprints are dealt out first (not by key: a
+    # second shuffle by the key of the first would be left out and its partitions joined again).
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    index = _variants(prints.repartition(parts, "print"))
+    index = _variants(prints.repartition(parts))
     shared = (
         index.groupBy("variant")
         .agg(
@@ -175,6 +176,8 @@ def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text")
     prints = fingerprints(numbered.select(both.alias("both"), F.col(text).alias("text")), "both")
     rows = common.stored(prints, "prints")
     order = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.row").alias("row"))
-    best = rows.groupBy("print").agg(F.min(order).alias("best"))
-    kept = best.join(roots(rows), "print").groupBy("root").agg(F.min("best").alias("best"))
-    return numbered.join(kept.select(F.col("best.row").alias(number)), number, "left_semi").drop(number)
+    best = rows.groupBy("print").agg(F.min(order).alias("best")).join(roots(rows), "print")
+    kept = best.groupBy("root").agg(F.min("best").alias("kept"))
+    labels = best.select("print", "root").join(kept.select("root", "kept.row"), "root")
+    dropped = rows.join(labels, "print").filter(F.col("key.row") != F.col("row"))
+    return common.without(numbered, number, dropped.select(F.col("key.row").alias(number)))
