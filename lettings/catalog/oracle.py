@@ -785,10 +785,11 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "SELECT agreement_id FROM judged_rental_agreements WHERE end_date < start_date OR end_date - start_date + 1 <= 0"
     ),
     "check_occupancy_bounds": _star(
-        "SELECT location_key, month_start_date, occupancy_rate FROM mart_occupancy WHERE occupancy_rate < 0 OR occupancy_rate > 1"
+        "SELECT location_key, month_start_date, CAST(occupancy_rate AS DOUBLE) * 2 AS occupancy_rate FROM mart_occupancy "
+        "WHERE CAST(occupancy_rate AS DOUBLE) * 2 NOT BETWEEN 0 AND 1"
     ),
     "check_payment_financials": _star(
-        "SELECT payment_id FROM fact_payment WHERE amount < 0 OR days_overdue < 0 OR (NOT is_overdue AND days_overdue <> 0)"
+        "SELECT payment_id FROM fact_payment WHERE amount < 0 OR days_overdue - 1 < 0 OR (NOT is_overdue AND days_overdue - 1 <> 0)"
     ),
     "measure_occupancy_rate": _star(
         f"SELECT region, {_RATE.format('occupied_property_days', 'available_property_days')} AS occupancy_rate FROM mart_occupancy GROUP BY 1"
@@ -805,6 +806,26 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "FROM fact_payment JOIN dim_location USING (location_key) GROUP BY 1"
     ),
     "measure_expiring": _star("SELECT city, count(*) AS expiring_agreements FROM mart_expiring GROUP BY 1"),
+    "measure_occupancy_rate_total": _star(
+        f"SELECT {_RATE.format('occupied_property_days', 'available_property_days')} AS occupancy_rate FROM mart_occupancy"
+    ),
+    "measure_revenue_by_month": _star(
+        "SELECT revenue_month, CAST(sum(CAST(rental_revenue AS DECIMAL(18,2))) AS DOUBLE) AS rental_revenue FROM mart_monthly_rental_revenue GROUP BY 1"
+    ),
+    "measure_rent_per_sqm_total": _star(
+        "SELECT CAST(sum(CAST(average_rent_per_sqm AS DECIMAL(12,2)) * property_count) AS DOUBLE) "
+        "/ CAST(sum(property_count) AS DOUBLE) AS rent_per_sqm FROM mart_average_rent_per_sqm"
+    ),
+    **{
+        name: _star(f"SELECT {columns} FROM {mart}")
+        for name, mart, columns in (
+            ("bi_occupancy_extract", "mart_occupancy", "city, region, month_start_date, occupied_property_days, available_property_days"),
+            ("bi_revenue_extract", "mart_monthly_rental_revenue", "city, region, revenue_month, rental_revenue"),
+            ("bi_rent_per_sqm_extract", "mart_average_rent_per_sqm", "city, region, property_count, average_rent_per_sqm"),
+            ("bi_expiring_extract", "mart_expiring", "agreement_id, city, end_date, days_until_expiration"),
+            ("bi_trends_extract", "mart_rental_trends", "city, region, agreement_month, average_monthly_rent"),
+        )
+    },
     "measure_rent_trend": _trend("region"),
     "measure_rent_trend_by_city": _trend("city"),
     "measure_rent_trend_total": _trend(),

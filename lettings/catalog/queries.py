@@ -311,17 +311,26 @@ def check_agreement_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_occupancy_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.occupancy_bounds(marts.mart_occupancy(state(spark, folder)))
+    """On doubled rates: a correct mart breaks no bound."""
+    doubled = F.col("occupancy_rate").cast("double") * 2
+    mart = marts.mart_occupancy(state(spark, folder))
+    return checks.occupancy_bounds(mart.withColumn("occupancy_rate", doubled))
 
 
 def check_payment_financials(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.payment_financials(star.fact_payment(state(spark, folder)))
+    """On payments with a day less: what was due in time then breaks the rule."""
+    facts = star.fact_payment(state(spark, folder))
+    return checks.payment_financials(facts.withColumn("days_overdue", F.col("days_overdue") - 1))
 
 
 def _measure(name: str, build: Callable[[star.State], DataFrame], *by: str) -> Query:
     return lambda spark, folder: measures.measure(build(state(spark, folder)), name, by=by)
 
 
+def _extract(name: str, build: Callable[[star.State], DataFrame]) -> Query:
+    return lambda spark, folder: marts.extract(build(state(spark, folder)), name)
+
+
 def _expiring(current: star.State) -> DataFrame:
     return marts.mart_agreements_expiring_soon(current, source.as_of())
 
@@ -488,6 +497,11 @@ QUERIES: dict[str, Query] = {
     "mart_agreements_expiring_soon": mart_agreements_expiring_soon,
     "mart_rental_trends_by_location": _on_state(marts.mart_rental_trends_by_location),
     "bi_payments_extract": _on_state(marts.payments_extract),
+    "bi_occupancy_extract": _extract("mart_occupancy", marts.mart_occupancy),
+    "bi_revenue_extract": _extract("mart_monthly_rental_revenue", marts.mart_monthly_rental_revenue),
+    "bi_rent_per_sqm_extract": _extract("mart_average_rent_per_sqm", marts.mart_average_rent_per_sqm),
+    "bi_expiring_extract": _extract("mart_agreements_expiring_soon", _expiring),
+    "bi_trends_extract": _extract("mart_rental_trends_by_location", marts.mart_rental_trends_by_location),
     "payments_for_agreement": lambda spark, folder: marts.payments_for_agreement(
         state(spark, folder), DRILL_THROUGH
     ),
@@ -503,6 +517,9 @@ QUERIES: dict[str, Query] = {
     "measure_rent_per_sqm": _measure("rent_per_sqm", marts.mart_average_rent_per_sqm, "region"),
     "measure_overdue_rate": _measure("overdue_rate", marts.payments_extract, "city"),
     "measure_expiring": _measure("expiring_agreements", _expiring, "city"),
+    "measure_occupancy_rate_total": _measure("occupancy_rate", marts.mart_occupancy),
+    "measure_revenue_by_month": _measure("rental_revenue", marts.mart_monthly_rental_revenue, "revenue_month"),
+    "measure_rent_per_sqm_total": _measure("rent_per_sqm", marts.mart_average_rent_per_sqm),
     "measure_rent_trend": _measure("rent_trend", marts.mart_rental_trends_by_location, "region"),
     "measure_rent_trend_by_city": _measure("rent_trend", marts.mart_rental_trends_by_location, "city"),
     "measure_rent_trend_total": _measure("rent_trend", marts.mart_rental_trends_by_location),
