@@ -109,12 +109,12 @@ def share_of(total: int, bound: int) -> float:
     return min(1.0, bound / max(total, 1))
 
 
-def in_sample(key: Column, share: float, seed: str) -> Column:
+def in_sample(key: Column, share: float | Column, seed: str) -> Column:
     """A repeatable sample by the hash of a key; it does not depend on partitions."""
-    if share >= 1:
-        return F.lit(True)
     spread = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_003))
-    return spread < int(share * 1_000_003)
+    if isinstance(share, Column):
+        return spread < F.floor(share * 1_000_003)
+    return spread < int(share * 1_000_003) if share < 1 else F.lit(True)
 
 
 def batches(rows: Iterable[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:

@@ -4,11 +4,12 @@ A text is lower-cased, everything but letters becomes a blank, and the two to fo
 that do not run over a blank are its subwords. Their embeddings, found by hash, are averaged over
 the whole text and a linear softmax gives the languages. Both are trained by stochastic gradient
 descent in numpy on a bounded sample (about ``PER_LANGUAGE`` rows of each language, chosen by hash
-among those that are not held out). A temperature fitted on rows left out of the descent calibrates
+among those that are not held out). Every language with such a row is learnt, however many there are. A temperature fitted on rows left out of the descent calibrates
 the scores, and the score that all but ``REJECTED`` of the right answers there exceed is the bound
 below which a text is marked as rejected.
 
-For scoring, the product of embeddings and softmax weights is one small table of fixed size. Text
+For scoring, up to ``DIMENSIONS`` languages have the product of embeddings and softmax weights as one
+table; more are scored from the averaged embeddings, so the table is never wider than those. Text
 that is null or has no letter is ``und`` with score 0. Rows without a language are not learnt from;
 without any row to learn from every text is ``und``. Rows without an id count as held out, repeated
 rows are answered each, and an empty table gives an empty result.
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from lettings.llm import common
 
 PER_LANGUAGE = 350
-#: Languages that may be learnt, the most frequent first.
-LANGUAGES = 64
 BITS = 15
 LENGTHS = (2, 3, 4)
 DIMENSIONS = 12
@@ -80,16 +79,17 @@ def has_letter(text: str) -> bool:
 
 @dataclass
 class Model:
-    """One row of logits per bucket, ready to be averaged; its size is fixed."""
+    """One row per bucket, ready to be averaged: logits, or embeddings if ``weights`` turn them into logits."""
 
     languages: list[str]
     table: np.ndarray
+    weights: np.ndarray | None
     bias: np.ndarray
     temperature: float
     least: float
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        total = np.zeros((len(texts), len(self.languages)))
+        total = np.zeros((len(texts), self.table.shape[1]))
         first = 0
         while first < len(texts):
             last, size = first, 0
@@ -97,13 +97,12 @@ class Model:
                 size += len(texts[last])
                 last += 1
             buckets, owners = subwords(texts[first:last])
-            for language in range(len(self.languages)):
-                sums = np.bincount(owners, self.table[buckets, language], last - first)
-                total[first:last, language] = sums
+            for column in range(self.table.shape[1]):
+                total[first:last, column] = np.bincount(owners, self.table[buckets, column], last - first)
             counts = np.maximum(np.bincount(owners, minlength=last - first), 1)
             total[first:last] /= counts[:, None]
             first = last
-        return total + self.bias
+        return (total if self.weights is None else total @ self.weights) + self.bias
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         return softmax(self.logits(texts) / self.temperature)
@@ -139,11 +138,15 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str])
             bias -= 0.1 * rate * error
             # Shares of single subwords are small; their steps are scaled up by a fixed factor.
             embeddings[buckets] -= (rate * 20 * shares)[:, None] * back
-    table = embeddings @ weights
-    logits = np.array([shares @ table[buckets] + bias for _, buckets, shares in checked])
+    if len(languages) <= DIMENSIONS:
+        table, weights = embeddings @ weights, None
+    else:
+        table = embeddings
+    logits = np.array([shares @ table[buckets] for _, buckets, shares in checked])
+    logits = (logits if weights is None else logits @ weights) + bias
     right = np.array([number[language] for language, _, _ in checked])
     temperature, least = calibrate(logits, right)
-    return Model(languages, table.astype(np.float32), bias, temperature, least)
+    return Model(languages, table.astype(np.float32), weights, bias, temperature, least)
 
 
 def calibrate(logits: np.ndarray, right: np.ndarray) -> tuple[float, float]:
@@ -166,14 +169,13 @@ def fit(
     ).filter(F.col("key").isNotNull() & F.col("language").isNotNull() & F.col("text").isNotNull())
     known = known.filter(~common.held_out(F.col("key")))
     counts = known.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.orderBy(F.desc("n"), "language").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    chosen = F.lit(False)
-    for row in counts:
-        share = common.share_of(row["n"], PER_LANGUAGE)
-        own = F.col("language") == row["language"]
-        chosen = F.when(own, common.in_sample(F.col("key"), share, "language")).otherwise(chosen)
+    # Languages of few rows are taken whole; each frequent one has a share of its own.
+    counts = counts.filter(F.col("n") > PER_LANGUAGE).collect()
+    chosen = F.lit(True)
+    if counts:
+        pairs = [(F.lit(x["language"]), F.lit(common.share_of(x["n"], PER_LANGUAGE))) for x in counts]
+        own = F.create_map(*[x for pair in pairs for x in pair])[F.col("language")]
+        chosen = common.in_sample(F.col("key"), F.coalesce(own, F.lit(1.0)), "language")
 
     def shares(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -78,6 +78,30 @@ def test_languages_of_odd_rows(spark):
     assert [r.lang_pred for r in language.identified(unknown).collect()] == ["und"]
 
 
+def invented(names, rows):
+    """Texts of languages with words of their own: (doc_id, text, lang), ids that are not held out first."""
+    random = np.random.default_rng(5)
+    ids = (i for i in range(10**6) if not common.is_held_out(i))
+    found = []
+    for name in names:
+        words = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), random.integers(3, 8))) for _ in range(30)]
+        found += [(next(ids), " ".join(random.choice(words, 25)), name) for _ in range(rows)]
+    return found
+
+
+def test_more_languages_than_sixty_four(spark):
+    given = invented([f"l{i:02}" for i in range(80)], 20)
+    # One language has more rows than are sampled.
+    given += [(10**6 + i, "zzy qqx wwk vvj", "often") for i in range(1000)]
+    asked = [(-1 - i, text, None) for i, (_, text, _) in enumerate(given[:1600:7])]
+    documents = spark.createDataFrame(given + asked, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identified(documents).collect()}
+    wanted = {-1 - i: lang for i, (_, _, lang) in enumerate(given[:1600:7])}
+    right = [lang for key, lang in wanted.items() if found[key] == lang]
+    assert len(right) / len(wanted) >= 0.97
+    assert len(set(right)) == 80
+
+
 def brute_links(rows, threshold=0.93):
     units = [None if r[2] is None else vectors.unit(r[1]) for r in rows]
     parent = list(range(len(rows)))
