@@ -4,8 +4,8 @@ A text is lower-cased, everything but letters becomes a blank, and the two to fo
 that do not run over a blank are its subwords. Their embeddings, found by hash, are averaged over
 the whole text and a linear softmax gives the languages. Both are trained by stochastic gradient
 descent in numpy on a bounded sample (about ``PER_LANGUAGE`` rows of each language, chosen by hash
-among those that are not held out). Every language with such a row is learnt, however many there are. A temperature fitted on rows left out of the descent calibrates
-the scores, and the score that all but ``REJECTED`` of the right answers there exceed is the bound
+among those that are not held out). Every language with such a row is learnt, however many there are. A temperature fitted on a fifth of each language's rows that is left out of the descent (none of
+less than five) calibrates the scores, and the score that all but ``REJECTED`` of the right answers there exceed is the bound
 below which a text is marked as rejected.
 
 For scoring, up to ``DIMENSIONS`` languages have the product of embeddings and softmax weights as one
@@ -17,6 +17,7 @@ rows are answered each, and an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ BITS = 15
 LENGTHS = (2, 3, 4)
 DIMENSIONS = 12
 EPOCHS = 8
+#: Steps of each language in an epoch at least.
+LEAST_STEPS = 24
 RATE = 1.0
 REJECTED = 0.01
 UNKNOWN = "und"
@@ -118,8 +121,17 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str])
     random = np.random.default_rng(3)
     number = {language: at for at, language in enumerate(languages)}
     order = random.permutation(len(rows))
-    aside = set(order[: len(rows) // 5].tolist())
-    learnt = [rows[i] for i in order.tolist() if i not in aside] or rows
+    # A fifth of each language is left out of the descent: of less than five rows none.
+    spare = {language: n // 5 for language, n in Counter(x[0] for x in rows).items()}
+    aside = set()
+    for i in order.tolist():
+        if spare[rows[i][0]]:
+            spare[rows[i][0]] -= 1
+            aside.add(i)
+    learnt = [rows[i] for i in order.tolist() if i not in aside]
+    # Rows of rare languages take part several times, or the steps against them outweigh their own.
+    often = Counter(x[0] for x in learnt)
+    learnt = [x for x in learnt for _ in range(-(-LEAST_STEPS // often[x[0]]))]
     checked = [rows[i] for i in sorted(aside)] or rows
     embeddings = random.normal(0, 0.1, (_BUCKETS, DIMENSIONS))
     weights = random.normal(0, 0.1, (DIMENSIONS, len(languages)))

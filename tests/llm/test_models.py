@@ -102,6 +102,22 @@ def test_more_languages_than_sixty_four(spark):
     assert len(set(right)) == 80
 
 
+def test_languages_of_one_to_three_rows(spark):
+    given = invented(["a", "b", "c", "d"], 60)
+    rare = invented([f"r{i}" for i in range(9)], 16)[:]
+    # The invented words of the second call are those of the first four languages again, so skip these.
+    rare = [x for x in rare if x[2] not in ("r0", "r1", "r2", "r3")]
+    learnt = [x for at, x in enumerate(rare) if at % 16 < 1 + at // 16 % 3]
+    asked = [(-1 - at, text, lang) for at, (_, text, lang) in enumerate(rare) if at % 16 > 2]
+    rows = given + [(10**6 + 10 * at + next(i for i in range(10) if not common.is_held_out(10**6 + 10 * at + i)), text, lang) for at, (_, text, lang) in enumerate(learnt)]
+    rows += [(key, text, None) for key, text, _ in asked]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identified(documents).collect()}
+    right = [lang for key, _, lang in asked if found[key] == lang]
+    assert len(right) / len(asked) >= 0.9
+    assert len(set(right)) == 5
+
+
 def brute_links(rows, threshold=0.93):
     units = [None if r[2] is None else vectors.unit(r[1]) for r in rows]
     parent = list(range(len(rows)))
