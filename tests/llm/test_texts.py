@@ -157,6 +157,24 @@ def test_contamination_with_empty_tables(spark):
     assert contamination.judged(empty(spark), none).count() == 0
 
 
+def test_copies_of_items_do_not_fill_a_block(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "BLOCK_WORDS", 100)
+    sizes = []
+
+    class Counted(contamination.Windows):
+        def __init__(self, chunks):
+            sizes.append(sum(len(text.split()) for _, text in chunks))
+            super().__init__(chunks)
+
+    monkeypatch.setattr(contamination, "Windows", Counted)
+    one = " ".join(f"word{i}" for i in range(20))
+    benchmark = spark.createDataFrame([("a", one)] * 200 + [(None, one)] * 200, "item_id string, text string")
+    documents = spark.createDataFrame([(1, one), (2, "other words")], "doc_id long, text string")
+    found = {r.doc_id: (r.n_hit, r.n_items) for r in contamination.judged(documents, benchmark).collect()}
+    assert found == {1: (20, 2), 2: (0, 0)}
+    assert max(sizes) <= 100
+
+
 def test_proximity_finds_scattered_terms(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     near = "thirteen x eleven x twelve ten nine eight seven six five four three two one"
