@@ -185,6 +185,25 @@ def test_proximity_finds_scattered_terms(spark):
     assert found == {1: (["9"], ["9"]), 2: ([], ["9"]), 3: ([], []), 4: ([], [])}
 
 
+def test_proximity_has_one_span_for_items_of_every_length(spark):
+    # "a" is rarest; b, c and d lie up to 38 words on either side of it, over more than 39 words.
+    gap = "gap " * 30
+    rows = [(1, f"b {gap} a {gap} c d"), (2, f"b a {gap} c d"), (3, "d x c x b"), (4, "b " + "gap " * 36 + "c d")]
+    rows += [(5, "b " + "gap " * 37 + "c d"), (6, "b c d b c d"), (7, f"d c {gap} x {gap} a b c d"), (8, "")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([("four", "a b c d"), ("three", "b c d"), ("one", "gap")], "item_id string, text string")
+    found = {r.doc_id: r for r in contamination.judged(documents, benchmark, proximity=True).collect()}
+    near = {r.key: set(r.near) for r in contamination.matches(documents, benchmark).collect()}
+    terms = {"four": "abcd", "three": "bcd", "one": ["gap"]}
+    for key, text in rows:
+        words = text.split()
+        spans = [set(words[at : at + 39]) for at in range(len(words))]
+        wanted = {item for item, own in terms.items() if any(set(own) <= span for span in spans)}
+        assert near[key] == wanted
+        assert found[key].n_near == len(wanted)
+        assert found[key].near_sha256 == hashlib.sha256(",".join(sorted(wanted)).encode()).hexdigest()
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
