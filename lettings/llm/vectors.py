@@ -2,15 +2,17 @@
 
 Equal vectors with equal labels are one vector with a weight. Centroids are fitted on a bounded
 sample; every vector is then assigned to its nearest cell, its home, and visits the other cells whose
-centroid is nearly as close (``margin`` in cosine). Within a cell and a label, the blocks of home
+centroid is nearly as close. Within a cell and a label, the blocks of home
 vectors are multiplied with each other and with the blocks of visitors. Visitors are never compared
 among themselves, and a pair that both vectors' cells find is counted in the cell of lower number
 only. Each product adds up the links of its vectors and reduces its pairs to a spanning forest, so
 pairs are counted exactly but never sent on.
 
 Cells have some ``CELL`` vectors as long as their number may grow; larger ones have more blocks, and
-none of them is larger than ``BLOCK``. Two vectors of cosine 0.93 differ in their cosines with any
-centroid by less than ``margin`` but for rare cases; tests measure the recall against brute force.
+none of them is larger than ``BLOCK``. A vector x of home h visits the cell of centroid c if
+``x.c >= x.h - sqrt((1 - threshold) / 2) * |h - c|``. That loses no link: for x and y at the threshold, of
+homes h and c, what x falls short by in c and y in h adds up to ``(x - y).(h - c)``, which is at most
+``sqrt(2 - 2 * threshold) * |h - c|``, so one of both falls short by half of it at most and visits.
 
 Vectors that are null, empty or zero, that hold null or non-finite components, that have another
 number of components than the one compared with, or that have no label, link with nothing. Rows without an
@@ -36,7 +38,8 @@ CELL = 2000
 CELLS = 1024
 #: Sample of the fit: vectors for each cell.
 SAMPLE = 24
-MARGIN = 0.25
+#: Added to the square of a visit's bound, for rounding.
+ROUNDING = 1e-12
 BLOCK = 1024
 ROUNDS = 12
 
@@ -96,10 +99,16 @@ def _matrix(units: pd.Series | list) -> np.ndarray:
     return np.frombuffer(b"".join(units), "<f8").reshape(len(units), -1)
 
 
-def _assigned(centroids: dict[int, np.ndarray], margin: float):
+def _assigned(centroids: dict[int, np.ndarray], threshold: float):
     """A row for the home of each vector and one for each cell that it visits."""
 
     def assign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slack = np.sqrt(max(0.0, (1 - threshold) / 2) + ROUNDING)
+        margins = {}
+        for width, own in centroids.items():
+            squares = (own * own).sum(1)
+            apart = squares[:, None] + squares - 2 * own @ own.T
+            margins[width] = slack * np.sqrt(np.maximum(apart, 0) + ROUNDING)
         for part in parts:
             units = part.column("unit").to_pylist()
             widths = np.array([len(x) // 8 for x in units])
@@ -108,7 +117,7 @@ def _assigned(centroids: dict[int, np.ndarray], margin: float):
                 own = part.take(pa.array(at))
                 cosines = _matrix([units[i] for i in at]) @ centroids[width].T
                 home = cosines.argmax(1)
-                near = cosines >= cosines[np.arange(len(at)), home][:, None] - margin
+                near = cosines >= cosines[np.arange(len(at)), home][:, None] - margins[width][home]
                 row, cell = np.nonzero(near)
                 visits = np.split(cell, np.flatnonzero(np.diff(row)) + 1)
                 columns = [own.column(c).take(pa.array(row)) for c in ("node", "label", "weight", "unit")]
@@ -196,7 +205,6 @@ def linked(
     vector: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
-    margin: float = MARGIN,
     block: int = BLOCK,
     cell: int = CELL,
 ) -> DataFrame:
@@ -229,7 +237,7 @@ def linked(
         centroids[components] = fit(_matrix(sample), cells)
     assigned = common.stored(
         nodes.select("node", "label", "weight", "unit").mapInArrow(
-            _assigned(centroids, margin),
+            _assigned(centroids, threshold),
             f"node long, label {kinds['label']}, weight long, unit binary, width int, cell int, "
             "home int, visits array<int>",
         ),

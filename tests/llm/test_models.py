@@ -174,6 +174,16 @@ def test_recall_of_cells_at_the_threshold(spark):
     assert sum(n >= 1 for n in found.values()) / len(rows) >= 0.99
 
 
+@pytest.mark.parametrize(("components", "count", "cell"), [(2, 300, 100), (3, 600, 15), (6, 1500, 25)])
+def test_no_link_is_lost_between_cells(spark, components, count, cell):
+    units = np.random.default_rng(4).normal(size=(count, components))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    table = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(units)], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in vectors.kept_and_linked(table, cell=cell).collect()}
+    wanted = (units @ units.T >= vectors.THRESHOLD).sum(1) - 1
+    assert found == dict(enumerate(wanted.tolist()))
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     """The rows that each stage of the pipeline is given and returns."""
