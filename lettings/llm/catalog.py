@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lettings.llm import (
+    centroids,
     common,
     contamination,
     language,
@@ -14,10 +15,12 @@ from lettings.llm import (
     pii,
     quality,
     repeats,
+    resampling,
     secret_scan,
     simhash,
     sql,
     token_counts,
+    url_filter,
     vectors,
 )
 
@@ -69,6 +72,20 @@ def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.kept_and_linked(common.table(spark, sf_dir, "embeddings"))
 
 
+def resampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
+    )
+
+
+def centroids_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(common.table(spark, sf_dir, "embeddings"))
+
+
+def urls_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(common.table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_count_query,
     "op2_quality": quality_query,
@@ -80,7 +97,15 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": secrets_query,
     "op9_repeats": repeats_query,
     "op10_vectors": vectors_query,
+    "op11_resampling": resampling_query,
+    "op12_centroids": centroids_query,
+    "op13_urls": urls_query,
 }
 
 #: Only queries that DuckDB can express over whole tables.
-SQL: dict[str, str] = {"op6_contamination": sql.CONTAMINATION}
+SQL: dict[str, str] = {
+    "op6_contamination": sql.CONTAMINATION,
+    "op11_resampling": sql.RESAMPLING,
+    "op12_centroids": sql.CENTROIDS,
+    "op13_urls": sql.URLS,
+}
