@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 import __spark_entry__ as contract  # noqa: E402
 from lettings import session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem documents embeddings benchmark labels".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings pages benchmark labels".split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
