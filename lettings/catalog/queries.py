@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lettings.catalog import tables as source
 from lettings.functions.hashing import canonical_json
-from lettings.model import ENTITIES, ROW
+from lettings.model import ENTITIES, ORDER, ROW
 from lettings.operators import checks, history, measures, quality, rules, upsert
 from lettings.operators.quality import Assessed
 from lettings.plans import adjustments, legacy, marts, star
@@ -132,18 +132,16 @@ def cast_kernels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_first_wins(spark: SparkSession, folder: str) -> DataFrame:
-    valid = rules.judge("payments", batch(spark, folder)["payments"]).filter("reason is null")
-    marked = quality.mark_repeats(valid.drop("reason"), "payment_id")
+    part = assessed(spark, folder)["payments"]
+    marked = part.raw.numbered(quality.mark_repeats(part.valid.select(ORDER, "payment_id"), "payment_id"))
     return marked.select("payment_id", ROW, F.col("reason").isNull().alias("kept"))
 
 
 def _late(entity: str, *codes: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         spec = ENTITIES[entity]
-        checked = assessed(spark, folder)[entity].checked
-        return checked.filter(F.col("reason.code").isin(*codes)).select(
-            spec.key, ROW, F.col("reason.code").alias("reason_code")
-        )
+        late = assessed(spark, folder)[entity].late_rejects
+        return late.filter(F.col("reason_code").isin(*codes)).select(spec.key, ROW, "reason_code")
 
     return query
 
@@ -151,9 +149,7 @@ def _late(entity: str, *codes: str) -> Query:
 def cascade_rejects(spark: SparkSession, folder: str) -> DataFrame:
     parts = assessed(spark, folder)
     frames = [
-        parts[name].checked.filter(F.col("reason").isNotNull()).select(
-            F.lit(name).alias("entity"), F.col("reason.code").alias("reason_code")
-        )
+        parts[name].late.select(F.lit(name).alias("entity"), "reason_code")
         for name in ("properties", "rental_agreements", "payments")
     ]
     both = frames[0].unionByName(frames[1]).unionByName(frames[2])
@@ -165,7 +161,13 @@ def quarantine_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.summarise(batch(spark, folder), assessed(spark, folder))
+    return quality.summarise(quality.all_counts(assessed(spark, folder)))
+
+
+def reconcile(spark: SparkSession, folder: str) -> DataFrame:
+    """The source rows of every entity against what became of them."""
+    inputs = quality.count_rows(batch(spark, folder), "input_count")
+    return quality.reconcile(inputs, quality.all_counts(assessed(spark, folder)))
 
 
 def strict_issues(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,10 +199,10 @@ def _property_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     first, second = source.property_states(spark, folder)
 
     def accept(raw: DataFrame, batch_id: str, at: int) -> DataFrame:
-        judged = rules.judge("properties", raw)
-        broken = judged.filter(F.col("reason").isNotNull())
+        records = quality.checked_records(ENTITIES["properties"], raw)
+        none = spark.createDataFrame([], quality.LATE)
         stamp = F.timestamp_seconds(F.lit(at))
-        return Assessed(ENTITIES["properties"], judged, broken, batch_id, stamp).accepted
+        return quality.accepted(ENTITIES["properties"], records, none, batch_id, stamp)
 
     return accept(first, source.BATCH, 1704067200), accept(second, "batch-0002", LATER)
 
@@ -468,15 +470,13 @@ QUERIES: dict[str, Query] = {
     "cascade_rejects": cascade_rejects,
     "quarantine_rows": quarantine_rows,
     "reason_counts": lambda spark, folder: quality.reason_counts(
-        quality.all_rejected(assessed(spark, folder))
+        quality.all_counts(assessed(spark, folder))
     ),
     "rejection_stats": lambda spark, folder: quality.rejection_stats(
-        quality.all_rejected(assessed(spark, folder))
+        quality.all_counts(assessed(spark, folder))
     ),
     "quality_summary": quality_summary,
-    "reconcile": lambda spark, folder: quality.reconcile(
-        batch(spark, folder), assessed(spark, folder)
-    ),
+    "reconcile": reconcile,
     "strict_issues": strict_issues,
     "silver_payments": silver_payments,
     "staging_counts": staging_counts,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
@@ -12,6 +14,42 @@ AREA = T.DecimalType(10, 2)
 ROW = "source_row"
 """Position of a record in its extract (1-based); defines "first" for duplicates."""
 
+ORDER = "source_order"
+"""Stand-in for ``source_row`` on its way through a batch: it orders the records of an extract and tells
+them apart, but needs no look at other file splits."""
+
+ORDER_TYPE = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("id", T.LongType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Extract:
+    """Raw records of one entity, by ``source_row`` or by ``source_order``.
+
+    With the latter, ``shifts`` has for each file split (``_file``, ``_block``) what to add to
+    ``id`` to get the row number.
+    """
+
+    records: DataFrame
+    shifts: DataFrame | None = None
+
+    def numbered(self, frame: DataFrame) -> DataFrame:
+        """Rows that carry the order key, with ``source_row``; meant for the few rejected ones."""
+        if self.shifts is None:
+            return frame.withColumn(ROW, F.col(f"{ORDER}.id"))
+        split = self.shifts.select("_file", "_block", "_shift")
+        found = frame.withColumns({"_file": F.col(f"{ORDER}.file"), "_block": F.col(f"{ORDER}.block")})
+        return (
+            found.join(split, ["_file", "_block"])
+            .withColumn(ROW, F.col(f"{ORDER}.id") + F.col("_shift"))
+            .drop("_file", "_block", "_shift")
+        )
+
 
 @dataclass(frozen=True)
 class Entity:

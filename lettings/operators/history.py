@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lettings.model import ENTITIES
+
 WATCHED = (
     "location_id",
     "owner_id",
@@ -19,6 +21,16 @@ WATCHED = (
 )
 KEY = "property_id"
 COLUMNS = (KEY, *WATCHED, "source_timestamp", "processed_at")
+_KINDS = {field.name: field.dataType for field in ENTITIES["properties"].silver}
+SCHEMA = T.StructType(
+    [
+        *[T.StructField(name, _KINDS[name]) for name in COLUMNS],
+        T.StructField("valid_from", T.TimestampType()),
+        T.StructField("valid_to", T.TimestampType()),
+        T.StructField("version_id", T.StringType()),
+        T.StructField("updated_at", T.TimestampType()),
+    ]
+)
 
 
 def _version(run_at: Column) -> Column:
@@ -39,17 +51,18 @@ def first_snapshot(current: DataFrame, run_at: Column) -> DataFrame:
     return _opened(current, run_at)
 
 
-def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFrame:
-    """The history after one snapshot run.
+KEPT, ENDED, BEGUN = "kept", "ended", "begun"
+
+
+def changes(opened: DataFrame, current: DataFrame, run_at: Column) -> DataFrame:
+    """What one snapshot run makes of the open versions: each row is kept, ended or begun (``kind``).
 
     Open versions meet the current records in one full outer join on the key, which is unique
-    on both sides; closed versions pass through. A changed or vanished key closes its open
-    version (only its end changes), a changed or new (or returning) key opens one.
+    on both sides. A changed or vanished key ends its open version (only its end changes), a
+    changed or new (or returning) key begins one.
     """
-    closed = history.filter(F.col("valid_to").isNotNull())
-    old = history.filter(F.col("valid_to").isNull()).select(
-        KEY, F.struct(*history.columns).alias("_old")
-    )
+    columns = [*COLUMNS, "valid_from", "valid_to", "version_id", "updated_at"]
+    old = opened.select(KEY, F.struct(*columns).alias("_old"))
     new = current.select(KEY, F.struct(*COLUMNS).alias("_new"))
     same = reduce(
         lambda left, right: left & right,
@@ -64,6 +77,7 @@ def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFram
         F.when(ended, run_at).otherwise(F.col("_old.valid_to")).alias("valid_to"),
         F.col("_old.version_id").alias("version_id"),
         F.col("_old.updated_at").alias("updated_at"),
+        F.when(ended, ENDED).otherwise(KEPT).alias("kind"),
     )
     new_row = F.struct(
         *[F.col(f"_new.{name}").alias(name) for name in COLUMNS],
@@ -73,9 +87,16 @@ def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFram
             F.concat_ws("|", F.col(f"_new.{KEY}"), F.unix_micros(run_at).cast("string"))
         ).alias("version_id"),
         run_at.alias("updated_at"),
+        F.lit(BEGUN).alias("kind"),
     )
     versions = F.array_compact(
         F.array(F.when(F.col("_old").isNotNull(), old_row), F.when(begun, new_row))
     )
-    rows = met.select(F.explode(versions).alias("_row")).select("_row.*")
-    return closed.unionByName(rows)
+    return met.select(F.explode(versions).alias("_row")).select("_row.*")
+
+
+def snapshot(history: DataFrame, current: DataFrame, run_at: Column) -> DataFrame:
+    """The whole history after one snapshot run; closed versions pass through."""
+    closed = history.filter(F.col("valid_to").isNotNull())
+    opened = history.filter(F.col("valid_to").isNull())
+    return closed.unionByName(changes(opened, current, run_at).drop("kind"))

@@ -1,116 +1,180 @@
 """Batch assessment: record rules, first-wins duplicates, relationships with cascade.
 
-Nothing is collected. Per entity the work is one projection, one narrow aggregation that finds
-repeated keys, one join that marks their later copies, and one equi-join per parent. Records
-that fail a record rule never enter a shuffle. A key copied a third of the time stays safe: the
-aggregation combines before its shuffle and the join side it produces has one row per key, so
-AQE may split the copies over many tasks.
+The rules of an entity run once: its records are written as a table, valid and invalid ones apart,
+with a short-lived order key instead of a row number. What makes a valid record fail later, a
+repeated key or an absent parent, is found on a few narrow columns of that table and written as a
+second, narrow table of late rejects. Accepted records are the valid ones without the late
+rejects; nothing is parsed or written twice, and every count is a sum over both tables.
+
+Repeated keys are found by an aggregation that combines before its shuffle; the join that marks
+their later copies has one row per key on one side, so AQE may split the copies of a hot key over
+many tasks. Row numbers, which need the sizes of earlier file splits, and raw texts are looked up
+for rejected records only.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lettings import session
 from lettings.functions import text
 from lettings.functions.hashing import fingerprint
-from lettings.model import ENTITIES, QUARANTINE, ROW, BatchRejected, Entity, PipelineError
+from lettings.model import (
+    ENTITIES,
+    ORDER,
+    ORDER_TYPE,
+    QUARANTINE,
+    ROW,
+    BatchRejected,
+    Entity,
+    Extract,
+    PipelineError,
+)
 from lettings.operators import rules
 from lettings.operators.rules import MALFORMED, RAW, Rule, first_reason, judge
 
+VALID, INVALID = "valid", "invalid"
+LATE = T.StructType(
+    [
+        T.StructField(ORDER, ORDER_TYPE),
+        T.StructField("reason_code", T.StringType()),
+        T.StructField("explanation", T.StringType()),
+    ]
+)
+
+
+def record_schema(entity: Entity) -> T.StructType:
+    """Columns of the record table: valid records have the first ones, invalid ones the others."""
+    stored = [f for f in entity.silver if f.name not in ("batch_id", "processed_at")]
+    refused = [f for f in QUARANTINE if f.name in ("source_identifier", "reason_code", "explanation", "raw_record")]
+    fields = [T.StructField(f.name, f.dataType) for f in (*stored, *refused)]
+    return T.StructType(
+        [T.StructField(ORDER, ORDER_TYPE), *fields, T.StructField("outcome", T.StringType())]
+    )
+
+
+def order_key(frame: DataFrame) -> Column:
+    """Where a record stands in its extract, comparable and unique."""
+    if ORDER in frame.columns:
+        return F.col(ORDER)
+    return F.struct(
+        F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.col(ROW).cast("long").alias("id")
+    )
+
+
+def _raw_record(entity: Entity, frame: DataFrame, at: str = RAW) -> Column:
+    raw = F.to_json(
+        F.struct(*[F.col(f"{at}.{name}").alias(name) for name in sorted(entity.raw)]),
+        {"ignoreNullFields": "false"},
+    )
+    return F.coalesce(F.col(MALFORMED), raw) if MALFORMED in frame.columns else raw
+
+
+def checked_records(entity: Entity, raw: DataFrame) -> DataFrame:
+    """Every record once, judged by its own rules; the only place where the rules are evaluated."""
+    judged = judge(entity, raw).withColumn("_valid", F.col("reason").isNull())
+    valid, key = F.col("_valid"), F.col(entity.key)
+    kinds = {f.name: f.dataType for f in entity.silver}
+    columns = {
+        ORDER: order_key(judged),
+        **{name: F.when(valid, F.col(name).cast(kinds[name])) for name in entity.raw},
+        "source_identifier": F.when(~valid & ~text.is_blank(key), key),
+        "reason_code": F.col("reason.code"),
+        "explanation": F.col("reason.explanation"),
+        "raw_record": F.when(~valid, _raw_record(entity, judged)),
+        "outcome": F.when(valid, VALID).otherwise(INVALID),
+    }
+    named = judged.select(*[column.alias(name) for name, column in columns.items()])
+    hashed = F.when(F.col("outcome") == VALID, fingerprint(entity.columns))
+    return named.withColumn("record_fingerprint", hashed).select(*record_schema(entity).names)
+
 
 @dataclass(frozen=True)
 class Assessed:
-    """One entity of a batch.
-
-    ``checked`` holds the records that passed the record rules, with a ``reason`` for those
-    rejected later; ``invalid`` holds the others. Both carry the normalised columns and the raw
-    text; a consumer that needs only one of them lets Catalyst prune the other.
-    """
+    """One entity of a batch: its record table, its late rejects, and where its raw text is."""
 
     entity: Entity
-    checked: DataFrame
-    invalid: DataFrame
+    records: DataFrame
+    late: DataFrame
+    raw: Extract
     batch_id: str
     processed_at: Column
 
+    @property
+    def valid(self) -> DataFrame:
+        """Records that pass their own rules."""
+        return self.records.filter(F.col("outcome") == VALID)
+
     @property
     def accepted(self) -> DataFrame:
-        kept = self.checked.filter(F.col("reason").isNull())
-        stamped = kept.select(*rules.normalised(self.entity)).withColumns(
-            {
-                "batch_id": F.lit(self.batch_id),
-                "record_fingerprint": fingerprint(self.entity.columns),
-                "processed_at": self.processed_at,
-            }
-        )
-        return stamped.select(*self.entity.silver.names)
+        return accepted(self.entity, self.records, self.late, self.batch_id, self.processed_at)
 
     @property
-    def rejected(self) -> DataFrame:
-        late = self.checked.filter(F.col("reason").isNotNull())
-        return self._quarantine(self.invalid).unionByName(self._quarantine(late))
+    def late_rejects(self) -> DataFrame:
+        """Valid records that are rejected later, with ``source_row`` and ``reason_code``."""
+        refused = self.late.select(ORDER, "reason_code", "explanation")
+        found = self.valid.drop("reason_code", "explanation").join(refused, ORDER)
+        return self.raw.numbered(found)
 
     @property
-    def outcome(self) -> DataFrame:
-        """Accepted and rejected records in one frame, split by the ``outcome`` column.
-
-        Written with ``partitionBy("outcome")`` it yields Silver and quarantine in one pass.
-        """
-        spec = self.entity
-        kept = F.col("outcome") == "accepted"
-        refused = self._quarantine_columns(self.checked)
-        marked = self.checked.select(
-            *rules.normalised(spec),
-            *[column.alias(name) for name, column in refused.items()],
-            F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("outcome"),
-        ).withColumn("record_fingerprint", F.when(kept, fingerprint(spec.columns)))
-        typed = [*spec.business, "source_timestamp"]
-        judged = marked.withColumns(
-            {
-                **{name: F.when(kept, F.col(name)) for name in typed},
-                **{name: F.when(~kept, F.col(name)) for name in refused if name != ROW},
-            }
-        )
-        failed = self.invalid.select(
-            *[c.alias(name) for name, c in self._quarantine_columns(self.invalid).items()],
-            F.lit("rejected").alias("outcome"),
-        )
-        return judged.unionByName(failed, allowMissingColumns=True).withColumns(
-            {"batch_id": F.lit(self.batch_id), "processed_at": self.processed_at}
+    def rejected(self) -> DataFrame:
+        invalid = self.raw.numbered(self.records.filter(F.col("outcome") == INVALID))
+        texts = self.raw.records
+        texts = texts.select(
+            order_key(texts).alias(ORDER), _raw_record_of(self.entity, texts).alias("raw_record")
         )
+        late = self.late_rejects.select(
+            ORDER, ROW, F.col(self.entity.key).alias("source_identifier"), "reason_code", "explanation"
+        ).join(texts, ORDER)
+        return self._quarantine(invalid).unionByName(self._quarantine(late))
 
-    def _quarantine_columns(self, frame: DataFrame) -> dict[str, Column]:
-        key = F.col(self.entity.key)
-        raw = F.to_json(
-            F.struct(*[F.col(f"{RAW}.{name}").alias(name) for name in sorted(self.entity.raw)]),
-            {"ignoreNullFields": "false"},
-        )
-        if MALFORMED in frame.columns:
-            raw = F.coalesce(F.col(MALFORMED), raw)
-        return {
+    def _quarantine(self, frame: DataFrame) -> DataFrame:
+        name = F.col("source_identifier")
+        columns = {
             "record_type": F.lit(self.entity.name),
-            "source_identifier": F.when(
-                text.is_blank(key), F.concat(F.lit("row-"), F.col(ROW).cast("string"))
-            ).otherwise(key),
-            "reason_code": F.col("reason.code"),
-            "explanation": F.col("reason.explanation"),
-            "raw_record": raw,
-            ROW: F.col(ROW),
+            "source_identifier": F.coalesce(name, F.concat(F.lit("row-"), F.col(ROW).cast("string"))),
+            "batch_id": F.lit(self.batch_id),
+            "processed_at": self.processed_at,
         }
+        return frame.select(*[columns.get(f.name, F.col(f.name)).alias(f.name) for f in QUARANTINE])
 
-    def _quarantine(self, frame: DataFrame) -> DataFrame:
-        columns = self._quarantine_columns(frame)
-        columns["batch_id"] = F.lit(self.batch_id)
-        columns["processed_at"] = self.processed_at
-        return frame.select(*[columns[field.name].alias(field.name) for field in QUARANTINE])
+    @property
+    def counts(self) -> DataFrame:
+        """Entity, outcome, reason code and number of records; one pass over narrow columns."""
+        own = self.records.groupBy("outcome", "reason_code").agg(F.count(F.lit(1)).alias("n"))
+        late = self.late.groupBy("reason_code").agg(F.count(F.lit(1)).alias("n"))
+        return own.select(F.lit(self.entity.name).alias("entity"), "outcome", "reason_code", "n").unionByName(
+            late.select(F.lit(self.entity.name).alias("entity"), F.lit(LATER).alias("outcome"), "reason_code", "n")
+        )
+
+
+LATER = "late"
 
 
-def mark_repeats(valid: DataFrame, key: str) -> DataFrame:
+def _raw_record_of(entity: Entity, texts: DataFrame) -> Column:
+    raw = F.to_json(
+        F.struct(*[F.col(name).alias(name) for name in sorted(entity.raw)]), {"ignoreNullFields": "false"}
+    )
+    return F.coalesce(F.col(MALFORMED), raw) if MALFORMED in texts.columns else raw
+
+
+def accepted(
+    entity: Entity, records: DataFrame, late: DataFrame, batch_id: str, processed_at: Column
+) -> DataFrame:
+    """Valid records that no later step rejects, in the columns of Silver."""
+    kept = records.filter(F.col("outcome") == VALID).join(late.select(ORDER), ORDER, "left_anti")
+    stamped = kept.withColumns({"batch_id": F.lit(batch_id), "processed_at": processed_at})
+    return stamped.select(*entity.silver.names)
+
+
+def mark_repeats(valid: DataFrame, key: str, order: str = ORDER) -> DataFrame:
     """Give every copy of a key but the first in source order a ``DUPLICATE_IDENTIFIER`` reason.
 
     Only keys that occur more than once reach the join; the aggregation keeps one number per
@@ -118,12 +182,12 @@ def mark_repeats(valid: DataFrame, key: str) -> DataFrame:
     """
     repeated = (
         valid.groupBy(key)
-        .agg(F.min(ROW).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .filter("_copies > 1")
         .select(key, "_first")
     )
     words = F.concat(F.lit(f"{key} '"), F.col(key), F.lit("' occurs more than once"))
-    later = F.col(ROW) > F.col("_first")
+    later = F.col(order) > F.col("_first")
     return (
         valid.join(repeated, key, "left")
         .withColumn("reason", F.when(later, rules.reason("DUPLICATE_IDENTIFIER", words)))
@@ -193,35 +257,77 @@ def check_parents(
     ).select(*columns)
 
 
+def late_rejects(entity: Entity, valid: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Order key and reason of valid records that repeat a key or lack a parent: narrow columns only."""
+    links = [link.column for link in PARENTS.get(entity.name, ())]
+    dates = ["due_date"] if entity.name == "payments" else []
+    narrow = valid.select(*dict.fromkeys([ORDER, entity.key, *links, *dates]))
+    checked = check_parents(entity, mark_repeats(narrow, entity.key), parents)
+    return checked.filter(F.col("reason").isNotNull()).select(
+        ORDER, F.col("reason.code").alias("reason_code"), F.col("reason.explanation").alias("explanation")
+    )
+
+
+def write_records(entity: Entity, raw: DataFrame, path: str) -> DataFrame:
+    """Judge an extract and write its record table; valid and invalid records are folders of their own."""
+    spark = raw.sparkSession
+    checked_records(entity, raw).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("outcome").parquet(path)
+    return spark.read.schema(record_schema(entity)).parquet(path)
+
+
 def assess_entity(
     entity: Entity | str,
-    raw: DataFrame,
+    raw: DataFrame | Extract,
     parents: Mapping[str, DataFrame],
     *,
     batch_id: str,
     processed_at: Column,
+    folder: str,
 ) -> Assessed:
-    """Assess one entity against parents that were accepted in the same batch."""
+    """Assess one entity against parents that were accepted in the same batch.
+
+    Writes ``<folder>/<entity>`` and ``<folder>/late/<entity>``; the latter last, so a record table
+    without late rejects is never taken for a whole one.
+    """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
-    judged = judge(spec, raw)
-    valid = judged.filter(F.col("reason").isNull()).drop("reason")
-    checked = check_parents(spec, mark_repeats(valid, spec.key), parents)
-    return Assessed(spec, checked, judged.filter(F.col("reason").isNotNull()), batch_id, processed_at)
+    extract = raw if isinstance(raw, Extract) else Extract(raw)
+    spark = extract.records.sparkSession
+    refused = f"{folder}/late/{spec.name}"
+    session.remove(spark, refused)
+    records = write_records(spec, extract.records, f"{folder}/{spec.name}")
+    valid = records.filter(F.col("outcome") == VALID)
+    late_rejects(spec, valid, parents).write.parquet(refused)
+    late = spark.read.schema(LATE).parquet(refused)
+    return Assessed(spec, records, late, extract, batch_id, processed_at)
 
 
 def assess(
-    batch: Mapping[str, DataFrame], *, batch_id: str, processed_at: Column
+    batch: Mapping[str, DataFrame | Extract],
+    *,
+    batch_id: str,
+    processed_at: Column,
+    folder: str | None = None,
 ) -> dict[str, Assessed]:
-    """Assess a whole batch lazily; children see only the parents that survived."""
+    """Assess a whole batch, parents first; children see only the parents that survived.
+
+    Without a folder the tables go below the shared one of the session.
+    """
     result: dict[str, Assessed] = {}
-    accepted: dict[str, DataFrame] = {}
+    kept: dict[str, DataFrame] = {}
     for name in ENTITIES:
         if name not in batch:
             raise PipelineError(f"{name}: source entity is absent")
+    if folder is None:
+        first = next(iter(batch.values()))
+        frame = first.records if isinstance(first, Extract) else first
+        folder = f"{session.shared_folder(frame.sparkSession)}/assessed-{uuid.uuid4().hex}"
+    for name in ENTITIES:
         result[name] = assess_entity(
-            name, batch[name], accepted, batch_id=batch_id, processed_at=processed_at
+            name, batch[name], kept, batch_id=batch_id, processed_at=processed_at, folder=folder
         )
-        accepted[name] = result[name].accepted
+        kept[name] = result[name].accepted
     return result
 
 
@@ -229,14 +335,16 @@ def all_rejected(assessed: Mapping[str, Assessed]) -> DataFrame:
     return reduce(DataFrame.unionByName, [part.rejected for part in assessed.values()])
 
 
-def reason_counts(rejected: DataFrame) -> DataFrame:
-    return rejected.groupBy("reason_code").agg(F.count(F.lit(1)).alias("rejected_rows"))
+def reason_counts(counts: DataFrame) -> DataFrame:
+    refused = counts.filter(_refused())
+    return refused.groupBy("reason_code").agg(F.sum("n").alias("rejected_rows"))
 
 
-def rejection_stats(rejected: DataFrame) -> DataFrame:
-    return rejected.agg(
-        F.count(F.lit(1)).alias("rejected_rows"),
-        F.countDistinct("reason_code").alias("reason_codes"),
+def rejection_stats(counts: DataFrame) -> DataFrame:
+    """Rejected records and how many different reasons they have."""
+    return reason_counts(counts).agg(
+        F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected_rows"),
+        F.count(F.lit(1)).alias("reason_codes"),
     )
 
 
@@ -249,38 +357,64 @@ def count_rows(frames: Mapping[str, DataFrame], column: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def summarise(batch: Mapping[str, DataFrame], assessed: Mapping[str, Assessed]) -> DataFrame:
+def all_counts(assessed: Mapping[str, Assessed]) -> DataFrame:
+    """Counts of all entities by outcome and reason, gathered once; at most a row per reason."""
+    return reduce(DataFrame.unionByName, [part.counts for part in assessed.values()])
+
+
+def _taken() -> Column:
+    return F.col("outcome") != LATER
+
+
+def _refused() -> Column:
+    return F.col("outcome") != VALID
+
+
+def _sum_if(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
+
+
+def _figures() -> list[Column]:
+    """Input, accepted and rejected records as sums over the counts.
+
+    A late reject is counted as a valid record and again as a late one.
+    """
+    return [
+        _sum_if(_taken()).alias("input_count"),
+        (_sum_if(F.col("outcome") == VALID) - _sum_if(~_taken())).alias("accepted_count"),
+        _sum_if(_refused()).alias("rejected_count"),
+    ]
+
+
+def summarise(counts: DataFrame) -> DataFrame:
     """One row per batch: input, accepted and rejected counts and a map of reason counts.
 
     The map has one entry per reason code, a fixed list, so gathering it is bounded.
     """
-    taken = count_rows(batch, "n").agg(F.sum("n").alias("input_count"))
-    kept = count_rows({n: part.accepted for n, part in assessed.items()}, "n").agg(
-        F.sum("n").alias("accepted_count")
+    by_reason = counts.withColumn("reason_code", F.when(_refused(), F.col("reason_code")))
+    by_reason = by_reason.groupBy("reason_code").agg(
+        _sum_if(_taken()).alias("taken"),
+        _sum_if(~_refused()).alias("valid"),
+        _sum_if(~_taken()).alias("late"),
+        _sum_if(_refused()).alias("refused"),
     )
-    by_reason = reason_counts(all_rejected(assessed)).agg(
-        F.coalesce(F.sum("rejected_rows"), F.lit(0)).alias("rejected_count"),
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct("reason_code", "rejected_rows")))
-        ).alias("reason_counts"),
-    )
-    return by_reason.select(
-        taken.scalar().alias("input_count"),
-        kept.scalar().alias("accepted_count"),
-        "rejected_count",
-        "reason_counts",
+    named = F.col("reason_code").isNotNull()
+    entry = F.when(named, F.struct("reason_code", F.col("refused").alias("rejected_rows")))
+    return by_reason.agg(
+        F.coalesce(F.sum("taken"), F.lit(0)).alias("input_count"),
+        F.coalesce(F.sum("valid") - F.sum("late"), F.lit(0)).alias("accepted_count"),
+        F.coalesce(F.sum("refused"), F.lit(0)).alias("rejected_count"),
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("reason_counts"),
     )
 
 
-def reconcile(batch: Mapping[str, DataFrame], assessed: Mapping[str, Assessed]) -> DataFrame:
-    """Per entity: input must equal accepted plus rejected."""
-    counts = (
-        count_rows(batch, "input_count")
-        .join(count_rows({n: p.accepted for n, p in assessed.items()}, "accepted_count"), "entity")
-        .join(count_rows({n: p.rejected for n, p in assessed.items()}, "rejected_count"), "entity")
-    )
+def reconcile(inputs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per entity: the records of the source (entity, input_count) must equal accepted plus rejected."""
+    outcome = counts.groupBy("entity").agg(*_figures()[1:])
     total = F.col("accepted_count") + F.col("rejected_count")
-    return counts.withColumn("balanced", F.col("input_count") == total)
+    return inputs.join(outcome, "entity", "left").withColumn(
+        "balanced", F.coalesce(F.col("input_count") == total, F.lit(False))
+    )
 
 
 def strict_issues(batch: Mapping[str, DataFrame]) -> DataFrame:
@@ -293,34 +427,37 @@ def strict_issues(batch: Mapping[str, DataFrame]) -> DataFrame:
     parts: list[DataFrame] = []
     unpruned: dict[str, DataFrame] = {}
     spark = next(iter(batch.values())).sparkSession
+    folder = f"{session.shared_folder(spark)}/strict-{uuid.uuid4().hex}"
 
     def issue(frame: DataFrame, spec: Entity, stage: int) -> DataFrame:
-        return frame.filter(F.col("reason").isNotNull()).select(
+        return frame.select(
             F.lit(stage).alias("stage"),
             F.lit(list(ENTITIES).index(spec.name)).alias("position"),
             F.lit(spec.name).alias("entity"),
-            F.col(ROW).alias("row_number"),
-            F.col("reason.code").alias("code"),
-            F.col("reason.explanation").alias("message"),
+            F.col(f"{ORDER}.id").alias("row_number"),
+            F.col("reason_code").alias("code"),
+            F.col("explanation").alias("message"),
         )
 
     for name, spec in ENTITIES.items():
         if name not in batch:
             absent = spark.range(1).select(
-                F.lit(0).cast("long").alias(ROW),
-                rules.reason("MISSING_ENTITY", "source entity is absent").alias("reason"),
+                F.struct(F.lit(0).cast("long").alias("id")).alias(ORDER),
+                F.lit("MISSING_ENTITY").alias("reason_code"),
+                F.lit("source entity is absent").alias("explanation"),
             )
             parts.append(issue(absent, spec, 0))
             unpruned[name] = spark.createDataFrame([], spec.silver)
             continue
-        judged = judge(spec, batch[name])
-        valid = judged.filter(F.col("reason").isNull()).drop("reason")
-        marked = mark_repeats(valid, spec.key)
-        parts.append(issue(judged, spec, 0))
-        parts.append(issue(marked, spec, 0))
-        first = marked.filter(F.col("reason").isNull())
-        parts.append(issue(check_parents(spec, first, unpruned), spec, 1))
-        unpruned[name] = first.select(*rules.normalised(spec))
+        records = write_records(spec, batch[name], f"{folder}/{name}")
+        valid = records.filter(F.col("outcome") == VALID)
+        late_rejects(spec, valid, unpruned).write.parquet(f"{folder}/late/{name}")
+        late = spark.read.schema(LATE).parquet(f"{folder}/late/{name}")
+        repeated = F.col("reason_code") == "DUPLICATE_IDENTIFIER"
+        parts.append(issue(records.filter(F.col("outcome") == INVALID), spec, 0))
+        parts.append(issue(late.filter(repeated), spec, 0))
+        parts.append(issue(late.filter(~repeated), spec, 1))
+        unpruned[name] = valid.join(late.filter(repeated).select(ORDER), ORDER, "left_anti")
     return reduce(DataFrame.unionByName, parts)
 
 

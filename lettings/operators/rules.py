@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lettings.functions import casts, text
 from lettings.functions.binding import evaluated
-from lettings.model import ENTITIES, ROW, Entity
+from lettings.model import ENTITIES, ORDER, ROW, Entity
 
 # Accepted codes and numeric limits of the source rules.
 PROPERTY_TYPES = ("apartment", "house", "studio")
@@ -219,11 +219,10 @@ def typed(entity: Entity | str, raw: DataFrame) -> DataFrame:
     Decimals stay wide here so that range rules see the value; ``normalised`` narrows them.
     """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
-    extra = [MALFORMED] if MALFORMED in raw.columns else []
+    extra = [name for name in (ROW, ORDER, MALFORMED) if name in raw.columns]
     stripped = evaluated(
         raw,
         {name: text.strip(F.col(name)) for name in spec.raw},
-        ROW,
         F.struct(*spec.raw).alias(RAW),
         *extra,
     )
@@ -240,22 +239,21 @@ def typed(entity: Entity | str, raw: DataFrame) -> DataFrame:
     )
     if spec.name == "properties":
         columns["_integer"] = casts.integer_shaped(F.col("bedrooms"))
-    return evaluated(stripped, columns, ROW, RAW, *extra)
+    return evaluated(stripped, columns, RAW, *extra)
 
 
 def judge(entity: Entity | str, raw: DataFrame) -> DataFrame:
-    """Normalised columns, ``source_row``, ``raw`` and ``reason`` (NULL: every rule is kept)."""
+    """Normalised columns, ``source_row`` or ``source_order``, ``raw`` and ``reason`` (NULL: all kept)."""
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     rules = record_rules(spec)
-    extra = []
+    extra = [name for name in (ROW, ORDER, MALFORMED) if name in raw.columns]
     if MALFORMED in raw.columns:
-        extra = [MALFORMED]
         rules = [
             Rule(F.col(MALFORMED).isNotNull(), "MALFORMED_RECORD", "record is not valid JSON"),
             *rules,
         ]
     return typed(spec, raw).select(
-        ROW, RAW, *extra, *spec.raw, first_reason(rules).alias("reason")
+        *extra, RAW, *spec.raw, first_reason(rules).alias("reason")
     )
 
 

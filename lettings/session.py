@@ -51,3 +51,9 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own, wherever it lies; an absent one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

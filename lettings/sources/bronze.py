@@ -2,7 +2,9 @@
 
 ``source_row`` numbers the records of an extract from 1 in file order. The number of a record is
 the number of records in earlier splits plus its place in its own split, so no global sort and no
-single task over the data is needed: only one row per file split passes through a window.
+single task over the data is needed: only one row per file split passes through a window. Landed
+extracts are read by ``source_order`` (``read_ordered``), which the records carry themselves; the
+number is looked up for the records that need one.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettings.model import ENTITIES, ROW, Entity, PipelineError
+from lettings.model import ENTITIES, ORDER, ROW, Entity, Extract, PipelineError
 from lettings.operators.rules import MALFORMED
 
 
@@ -172,9 +174,9 @@ def ingest(
     return read_landed(spark, bronze, batch_id)
 
 
-def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, DataFrame]:
-    """Landed extracts with ``source_row``; the shifts are joined by their measured size."""
-    landed: dict[str, DataFrame] = {}
+def read_ordered(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, Extract]:
+    """Landed extracts by ``source_order``, with the split sizes beside them: nothing is joined."""
+    landed: dict[str, Extract] = {}
     for name in ENTITIES:
         path, splits = _landing(bronze, batch_id, name)
         try:
@@ -183,10 +185,19 @@ def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, Da
             raise PipelineError(f"Required Bronze data does not exist: {path}") from error
         if ENTITIES[name].extract == "csv":  # short records lack fields, which the rules report
             records = records.drop(MALFORMED)
-        landed[name] = with_source_rows(records, shifts)
+        order = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_id").alias("id"))
+        landed[name] = Extract(records.withColumn(ORDER, order).drop(*SPLIT, "_id"), shifts)
     return landed
 
 
+def read_landed(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, DataFrame]:
+    """Landed extracts with ``source_row``; the shifts are joined by their measured size."""
+    return {
+        name: extract.numbered(extract.records).drop(ORDER)
+        for name, extract in read_ordered(spark, bronze, batch_id).items()
+    }
+
+
 def require_well_formed(batch: Mapping[str, DataFrame]) -> None:
     """Fail a landed batch on unreadable JSON, for callers that do not want it quarantined."""
     for name, frame in batch.items():

@@ -1,16 +1,23 @@
-"""Silver, quarantine and summary tables written by a batch."""
+"""Silver, quarantine and summary tables written by a batch.
+
+Silver of an entity is its record table (valid and invalid records apart) and the narrow table of
+late rejects; readers take the valid records without the late ones.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettings.model import ENTITIES, QUARANTINE, Entity, PipelineError
-from lettings.operators.quality import Assessed
+from lettings.model import ENTITIES, QUARANTINE, Extract, PipelineError
+from lettings.operators import quality
+from lettings.operators.quality import LATE, Assessed
+
+#: Batch id and processing time of a batch's Silver, one row.
+STAMP = "batch_id string, processed_at timestamp"
 
 
 class Lake:
@@ -35,57 +42,48 @@ class Lake:
     def history(self) -> str:
         return f"{self.root}/history"
 
-    def silver(self, batch_id: str, entity: str) -> str:
-        return f"{self.root}/silver/batch_id={batch_id}/{entity}"
+    def silver(self, batch_id: str) -> str:
+        return f"{self.root}/silver/batch_id={batch_id}"
 
     def summary(self, batch_id: str) -> str:
         return f"{self.root}/quality/{batch_id}"
 
 
-def write_outcome(lake: Lake, part: Assessed) -> None:
-    """One job per entity writes accepted and rejected records side by side.
+def read_assessed(spark: SparkSession, lake: Lake, batch_id: str) -> dict[str, Assessed]:
+    """The written tables of a batch; their raw texts are not at hand."""
+    folder = lake.silver(batch_id)
+    found: dict[str, Assessed] = {}
+    for name, spec in ENTITIES.items():
+        try:
+            records = spark.read.schema(quality.record_schema(spec)).parquet(f"{folder}/{name}")
+            late = spark.read.schema(LATE).parquet(f"{folder}/late/{name}")
+            stamp = spark.read.schema(STAMP).parquet(f"{folder}/stamp")
+        except AnalysisException as error:
+            raise PipelineError(f"Required Silver dataset does not exist: {folder}/{name}") from error
+        moment = stamp.select("processed_at").scalar()
+        found[name] = Assessed(spec, records, late, Extract(records), batch_id, moment)
+    return found
 
-    No shuffle is added for the split: each task writes at most two files.
-    """
-    path = lake.silver(part.batch_id, part.entity.name)
-    part.outcome.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "outcome"
-    ).parquet(path)
 
-
-def _outcome(spark: SparkSession, lake: Lake, batch_id: str, entity: Entity) -> DataFrame:
-    path = lake.silver(batch_id, entity.name)
-    fields = {field.name: field for field in [*QUARANTINE, *entity.silver]}
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values())
-    try:
-        return spark.read.schema(f"{ddl}, outcome string").parquet(path)
-    except AnalysisException as error:
-        raise PipelineError(f"Required Silver dataset does not exist: {path}") from error
+def write_stamp(spark: SparkSession, lake: Lake, batch_id: str, processed_at: object) -> None:
+    stamp = spark.range(1).select(F.lit(batch_id).alias("batch_id"), processed_at.alias("processed_at"))
+    stamp.coalesce(1).write.mode("overwrite").parquet(f"{lake.silver(batch_id)}/stamp")
 
 
 def read_silver(spark: SparkSession, lake: Lake, batch_id: str, entity: str) -> DataFrame:
-    """Accepted records; the partition filter keeps the rejected files unread."""
-    spec = ENTITIES[entity]
-    frame = _outcome(spark, lake, batch_id, spec)
-    return frame.filter(F.col("outcome") == "accepted").select(*spec.silver.names)
+    """Accepted records; the partition filter keeps the files of invalid ones unread."""
+    return read_assessed(spark, lake, batch_id)[entity].accepted
 
 
 def read_silver_batch(spark: SparkSession, lake: Lake, batch_id: str) -> dict[str, DataFrame]:
-    return {name: read_silver(spark, lake, batch_id, name) for name in ENTITIES}
+    return {name: part.accepted for name, part in read_assessed(spark, lake, batch_id).items()}
 
 
-def write_quarantine(spark: SparkSession, work: Lake, lake: Lake, batch_id: str) -> None:
-    """Gather the rejected records of all entities of ``work`` under their batch partition."""
-    parts = [
-        _outcome(spark, work, batch_id, spec)
-        .filter(F.col("outcome") == "rejected")
-        .select(*QUARANTINE.names)
-        for spec in ENTITIES.values()
-    ]
-    rejected = reduce(DataFrame.unionByName, parts)
-    rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "batch_id"
-    ).parquet(lake.quarantine)
+def write_quarantine(lake: Lake, assessed: Mapping[str, Assessed]) -> None:
+    """Gather the rejected records of all entities under their batch partition."""
+    quality.all_rejected(assessed).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("batch_id").parquet(lake.quarantine)
 
 
 def read_quarantine(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
@@ -101,26 +99,3 @@ def write_summary(lake: Lake, batch_id: str, summary: DataFrame) -> None:
     summary.withColumn("batch_id", F.lit(batch_id)).coalesce(1).write.mode("overwrite").json(
         lake.summary(batch_id)
     )
-
-
-def summarise_written(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
-    """Counts per outcome and reason, read back from narrow columns of the written batch.
-
-    The result has at most one row per entity and reason code.
-    """
-    parts: Mapping[str, DataFrame] = {
-        name: _outcome(spark, lake, batch_id, spec) for name, spec in ENTITIES.items()
-    }
-    counted = [
-        frame.groupBy("outcome", "reason_code")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(name).alias("entity"), "outcome", "reason_code", "rows")
-        for name, frame in parts.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a work folder of our own, wherever it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
