@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from lettings.catalog.queries import DRILL_THROUGH
 from lettings.catalog.tables import AS_OF, STAMP
+from lettings.model import ENTITIES
+from lettings.operators import checks
 
 _STRIP = "' ' || chr(9)"
 
@@ -35,41 +37,7 @@ def _json(*columns: str) -> str:
     return f"CAST(to_json({{{fields}}}) AS VARCHAR)"
 
 
-_ALL = {
-    "locations": ("location_id", "city", "region", "country_code", "source_timestamp"),
-    "owners": ("owner_id", "full_name", "email", "source_timestamp"),
-    "tenants": ("tenant_id", "full_name", "email", "source_timestamp"),
-    "properties": (
-        "property_id",
-        "location_id",
-        "owner_id",
-        "property_type",
-        "bedrooms",
-        "size_sqm",
-        "monthly_rent",
-        "currency",
-        "source_timestamp",
-    ),
-    "rental_agreements": (
-        "agreement_id",
-        "property_id",
-        "tenant_id",
-        "start_date",
-        "end_date",
-        "monthly_rent",
-        "status",
-        "source_timestamp",
-    ),
-    "payments": (
-        "payment_id",
-        "agreement_id",
-        "due_date",
-        "payment_date",
-        "amount",
-        "status",
-        "source_timestamp",
-    ),
-}
+_ALL = {name: tuple(spec.raw) for name, spec in ENTITIES.items()}
 
 _RAW = f"""
 raw_locations AS (
@@ -599,6 +567,75 @@ def _constraints() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _digest(columns: tuple[str, ...], relation: str) -> str:
+    row = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in sorted(columns))
+    return (
+        f"SELECT date_key // 100 AS month_key, count(*) AS row_count, "
+        f"CAST(sum(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM {relation} GROUP BY 1"
+    )
+
+
+_NUMBERS = ("date_key", "occupancy_rate", "rental_revenue", "average_rent_per_sqm", "amount", "agreement_days", "days_overdue")
+_AS_THEY_ARE = ("date_day", "valid_from", "start_date", "end_date", "is_overdue")
+
+
+def _loosened(model: str, columns: list[str], extra: tuple[str, ...]) -> str:
+    """Rows twice, without values, and with other values, by the first digit of the key's hash."""
+    key = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in checks.key_of(model))
+    names = [*columns, *extra]
+
+    def other(column: str) -> str:
+        if column in _AS_THEY_ARE:
+            return column
+        return f"-{column}" if column in _NUMBERS else f"{column} || 'x'"
+
+    digit = f"md5({key})[1]"
+    return (
+        f"loose_{model} AS (SELECT {', '.join(names)} FROM {model} UNION ALL "
+        f"SELECT {', '.join(names)} FROM {model} WHERE {digit} = '0' UNION ALL "
+        f"SELECT {', '.join('NULL' for _ in names)} FROM {model} WHERE {digit} = '1' UNION ALL "
+        f"SELECT {', '.join(other(c) for c in names)} FROM {model} WHERE {digit} = '2')"
+    )
+
+
+def _data_tests() -> str:
+    extra = {
+        "fact_rental_agreement": ("start_date", "end_date", "agreement_days"),
+        "fact_payment": ("amount", "days_overdue", "is_overdue"),
+    }
+    views = [_loosened(m, columns, extra.get(m, ())) for m, columns in checks.MODELS.items()]
+    keyed = {
+        "int_agreements_enriched": "SELECT agreement_id FROM rental_agreements",
+        "int_payments_enriched": "SELECT payment_id FROM payments",
+    }
+    stages = [f"{name} AS ({select})" for name, select in keyed.items()]
+    stages += [
+        f"{n} AS (SELECT * REPLACE (CAST(size_sqm AS DECIMAL(10,2)) AS size_sqm) , sha256({_FINGERPRINT}) AS record_fingerprint FROM properties)"
+        for n in ("fingerprinted",)
+    ]
+    parts = []
+
+    def add(test: str, model: str, column: str, count: str) -> None:
+        parts.append(f"SELECT '{test}' AS test, '{model}' AS model, '{column}' AS column_name, ({count}) AS violations")
+
+    for m, c in checks.UNIQUE_KEYS:
+        add("unique", m, c, f"SELECT count(*) FROM (SELECT {c} FROM loose_{m} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+    for m, c in checks.NOT_NULL:
+        add("not_null", m, c, f"SELECT count(*) FROM loose_{m} WHERE {c} IS NULL")
+    for m, c, values in checks.ACCEPTED_VALUES:
+        listed = ", ".join(f"'{v}'" for v in values)
+        add("accepted_values", m, c, f"SELECT count(*) FROM loose_{m} WHERE {c} NOT IN ({listed})")
+    for m, c, parent, field in checks.RELATIONSHIPS:
+        add("relationships", m, c, f"SELECT count(*) FROM loose_{m} WHERE {c} NOT IN (SELECT {field} FROM loose_{parent} WHERE {field} IS NOT NULL)")
+    add("agreement_dates", "fact_rental_agreement", "*", "SELECT count(*) FROM loose_fact_rental_agreement WHERE end_date < start_date OR agreement_days <= 0")
+    add("occupancy_bounds", "mart_occupancy", "*", "SELECT count(*) FROM loose_mart_occupancy WHERE occupancy_rate < 0 OR occupancy_rate > 1")
+    add("payment_financials", "fact_payment", "*", "SELECT count(*) FROM loose_fact_payment WHERE amount < 0 OR days_overdue < 0 OR (NOT is_overdue AND days_overdue <> 0)")
+    loose = ", ".join(views).replace("FROM properties", "FROM fingerprinted")
+    history = f"property_history AS (SELECT property_id, valid_from FROM ({_HISTORY}) h(property_id, a1, a2, a3, a4, a5, a6, a7, a8, a9, valid_from, a11, a12, a13))"
+    pair = _PAIR.removeprefix("WITH ")
+    return _star(f", {', '.join(stages)}, {pair}, {history}, {loose} {' UNION ALL '.join(parts)}")
+
+
 def _strict() -> str:
     """No cascade: parents are all first copies of valid records."""
     parts = [f"SELECT '{n}' AS entity, reason_code AS code FROM judged_{n} WHERE reason_code IS NOT NULL" for n in _ALL]
@@ -752,6 +789,29 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "count(DISTINCT occupancy_key) AS occupancy_keys, min(occupancy_key) AS lowest_key, max(occupancy_key) AS highest_key, "
         "min(date_key) AS first_date_key, max(date_day) AS last_day FROM fact_occupancy GROUP BY 1, 2, 3, 4"
     ),
+    "fact_occupancy_digest": _star(
+        _digest(
+            ("occupancy_key", "rental_agreement_key", "property_key", "location_key", "tenant_key", "date_key", "date_day", "occupied_day"),
+            "fact_occupancy",
+        )
+    ),
+    "data_test_report": _data_tests(),
+    "load_all_entities": _batch(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS entity, count(*) FILTER (right({k}, 1) = '7') AS inserted_count, "
+            f"count(*) FILTER (right({k}, 1) = '3') AS updated_count, count(*) FILTER (right({k}, 1) NOT IN ('3', '7')) AS skipped_count, "
+            f"count(*) + count(*) FILTER (right({k}, 1) = '7') AS state_rows, "
+            f"count(*) + count(*) FILTER (right({k}, 1) = '7') AS batch_rows FROM {n}"
+            for n, k in _KEYS.items()
+        )
+    ),
+    "refresh_all_entities": _batch(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS entity, count(*) AS inserted_count, CAST(0 AS BIGINT) AS updated_count, "
+            f"CAST(0 AS BIGINT) AS skipped_count FROM {n}"
+            for n in _ALL
+        )
+    ),
     "fact_rental_agreement": _star(
         "SELECT * REPLACE (CAST(monthly_rent AS DOUBLE) AS monthly_rent) FROM fact_rental_agreement"
     ),

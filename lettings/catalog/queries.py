@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lettings import session
 from lettings.catalog import tables as source
 from lettings.functions.hashing import canonical_json
 from lettings.model import ENTITIES, ORDER, ROW
 from lettings.operators import checks, history, measures, quality, rules, upsert
 from lettings.operators.quality import Assessed
-from lettings.plans import adjustments, legacy, marts, star
+from lettings.plans import adjustments, legacy, marts, pipeline, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,6 +229,47 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.load_metrics({"properties": upsert.classify(incoming, nothing, "property_id")})
 
 
+def next_extracts(current: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All six entities once more: by the key's last digit some keys are new (7) or changed (3)."""
+    found = {}
+    for name, frame in current.items():
+        key = F.col(ENTITIES[name].key)
+        last = F.right(key, F.lit(1))
+        found[name] = frame.withColumns(
+            {
+                ENTITIES[name].key: F.when(last == "7", F.concat(key, F.lit("-N"))).otherwise(key),
+                "record_fingerprint": F.when(last == "3", F.sha2("record_fingerprint", 256)).otherwise(
+                    F.col("record_fingerprint")
+                ),
+            }
+        )
+    return found
+
+
+def load_all_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of an incremental load of all entities, and the records of the state after it."""
+    current = state(spark, folder)
+    incoming = next_extracts(current)
+    keys = {name: ENTITIES[name].key for name in current}
+    actions = {name: upsert.classify(incoming[name], current[name], keys[name]) for name in current}
+    after = {name: upsert.apply_upsert(incoming[name], current[name], keys[name]) for name in current}
+    counted = quality.count_rows(after, "state_rows")
+    fresh = quality.count_rows(
+        {name: frame.filter(F.col("batch_id") == source.BATCH) for name, frame in after.items()}, "batch_rows"
+    )
+    return upsert.load_metrics(actions).join(counted, "entity").join(fresh, "entity")
+
+
+def refresh_all_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of a full refresh of all entities: everything is inserted into an empty state."""
+    incoming = next_extracts(state(spark, folder))
+    actions = {
+        name: upsert.classify(frame, upsert.empty_state(frame, ENTITIES[name]), ENTITIES[name].key)
+        for name, frame in incoming.items()
+    }
+    return upsert.load_metrics(actions)
+
+
 def upsert_rejections(spark: SparkSession, folder: str) -> DataFrame:
     """The payment rejections of the batch stored once, then replayed with a new explanation."""
     rejected = assessed(spark, folder)["payments"].rejected
@@ -278,10 +321,29 @@ def fact_occupancy(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fact_occupancy_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row and column of the day fact, as a checksum for each month."""
+    month = F.expr("date_key div 100").alias("month_key")
+    return checks.digest(star.fact_occupancy(state(spark, folder)), month)
+
+
 def staging_counts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.count_rows(state(spark, folder), "stored_rows")
 
 
+def _loosened(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    models = pipeline.warehouse(state(spark, folder), source.as_of())
+    models["property_history"] = scd2_property_history(spark, folder)
+    place = f"{session.shared_folder(spark)}/loosened-{uuid.uuid4().hex}"
+    loose = {name: checks.loosened(models[name], *checks.key_of(name)) for name in checks.MODELS}
+    return pipeline.materialise(spark, loose, place)
+
+
+def data_test_report(spark: SparkSession, folder: str) -> DataFrame:
+    """All seventy data tests over stored models that break them on purpose."""
+    return checks.report(_once("loosened", spark, folder, _loosened))
+
+
 def check_unique(spark: SparkSession, folder: str) -> DataFrame:
     loose = rules.typed("payments", batch(spark, folder)["payments"])
     return checks.unique(loose, "payment_id")
@@ -485,11 +547,14 @@ QUERIES: dict[str, Query] = {
     "apply_upsert": apply_upsert,
     "load_metrics": load_metrics,
     "full_refresh": full_refresh,
+    "load_all_entities": load_all_entities,
+    "refresh_all_entities": refresh_all_entities,
     "upsert_rejections": upsert_rejections,
     "constraint_checks": constraint_checks,
     "scd2_property_history": scd2_property_history,
     **{name: _on_state(build) for name, build in star.MODELS.items()},
     "fact_occupancy": fact_occupancy,
+    "fact_occupancy_digest": fact_occupancy_digest,
     "mart_occupancy": _on_state(marts.mart_occupancy),
     "mart_monthly_rental_revenue": _on_state(marts.mart_monthly_rental_revenue),
     "mart_overdue_payments": _on_state(marts.mart_overdue_payments),
@@ -505,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "payments_for_agreement": lambda spark, folder: marts.payments_for_agreement(
         state(spark, folder), DRILL_THROUGH
     ),
+    "data_test_report": data_test_report,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_accepted_values": check_accepted_values,

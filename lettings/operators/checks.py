@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique(frame: DataFrame, column: str) -> DataFrame:
@@ -118,6 +119,29 @@ SINGLE: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
+MODELS: dict[str, list[str]] = {}
+"""Tested columns of every model."""
+for _model, _column in (
+    *UNIQUE_KEYS,
+    *NOT_NULL,
+    *[(model, column) for model, column, _ in ACCEPTED_VALUES],
+    *[(model, column) for model, column, _, _ in RELATIONSHIPS],
+):
+    if _column not in MODELS.setdefault(_model, []):
+        MODELS[_model].append(_column)
+
+
+_OWN_KEYS = {
+    "mart_occupancy": ("location_key", "month_start_date"),
+    "mart_monthly_rental_revenue": ("location_key", "revenue_month"),
+    "mart_average_rent_per_sqm": ("location_key",),
+}
+
+
+def key_of(model: str) -> tuple[str, ...]:
+    return _OWN_KEYS.get(model, (MODELS[model][0],))
+
+
 def _counted(violations: DataFrame, test: str, model: str, column: str) -> DataFrame:
     return violations.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(test).alias("test"), F.lit(model).alias("model"), F.lit(column).alias("column_name"), "violations"
@@ -205,3 +229,40 @@ def report(models: Mapping[str, DataFrame]) -> DataFrame:
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def digest(frame: DataFrame, *by: Column) -> DataFrame:
+    """Rows and a checksum over all columns for each group, whatever the order of rows.
+
+    The checksum adds up 60 bits of a hash of every row, so it is combined before the shuffle and
+    two tables that differ in any value of any row differ in it.
+    """
+    values = [F.coalesce(F.col(name).cast("string"), F.lit("null")) for name in sorted(frame.columns)]
+    hashed = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 15), 16, 10).cast("decimal(20,0)")
+    return frame.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(hashed).cast("string").alias("checksum")
+    )
+
+
+def loosened(frame: DataFrame, *key: str) -> DataFrame:
+    """A table that breaks its data tests on purpose, to show that they find what is broken.
+
+    By the first digit of the key's hash some rows are there twice (0), some once more without any
+    value (1), and some once more with other values (2): text gets a letter more, numbers change sign.
+    """
+    digit = F.substring(F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in key])), 1, 1)
+
+    def other(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            return F.concat(column, F.lit("x")).alias(field.name)
+        if isinstance(field.dataType, T.NumericType):
+            return (-column).cast(field.dataType).alias(field.name)
+        return column
+
+    twice = frame.filter(digit == "0")
+    empty = frame.filter(digit == "1").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema]
+    )
+    changed = frame.filter(digit == "2").select(*[other(f) for f in frame.schema])
+    return frame.unionByName(twice).unionByName(empty).unionByName(changed)

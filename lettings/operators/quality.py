@@ -17,7 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -277,32 +277,6 @@ def write_records(entity: Entity, raw: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(record_schema(entity)).parquet(path)
 
 
-def assess_entity(
-    entity: Entity | str,
-    raw: DataFrame | Extract,
-    parents: Mapping[str, DataFrame],
-    *,
-    batch_id: str,
-    processed_at: Column,
-    folder: str,
-) -> Assessed:
-    """Assess one entity against parents that were accepted in the same batch.
-
-    Writes ``<folder>/<entity>`` and ``<folder>/late/<entity>``; the latter last, so a record table
-    without late rejects is never taken for a whole one.
-    """
-    spec = ENTITIES[entity] if isinstance(entity, str) else entity
-    extract = raw if isinstance(raw, Extract) else Extract(raw)
-    spark = extract.records.sparkSession
-    refused = f"{folder}/late/{spec.name}"
-    session.remove(spark, refused)
-    records = write_records(spec, extract.records, f"{folder}/{spec.name}")
-    valid = records.filter(F.col("outcome") == VALID)
-    late_rejects(spec, valid, parents).write.parquet(refused)
-    late = spark.read.schema(LATE).parquet(refused)
-    return Assessed(spec, records, late, extract, batch_id, processed_at)
-
-
 def assess(
     batch: Mapping[str, DataFrame | Extract],
     *,
@@ -310,23 +284,35 @@ def assess(
     processed_at: Column,
     folder: str | None = None,
 ) -> dict[str, Assessed]:
-    """Assess a whole batch, parents first; children see only the parents that survived.
+    """Assess a whole batch; children see only the parents that survived.
 
+    Writes ``<folder>/<entity>``, for all entities at once, and then, parents first,
+    ``<folder>/late/<entity>``, so a record table without late rejects is never taken for a whole one.
     Without a folder the tables go below the shared one of the session.
     """
-    result: dict[str, Assessed] = {}
-    kept: dict[str, DataFrame] = {}
+    extracts: dict[str, Extract] = {}
     for name in ENTITIES:
         if name not in batch:
             raise PipelineError(f"{name}: source entity is absent")
+        extracts[name] = batch[name] if isinstance(batch[name], Extract) else Extract(batch[name])
+    spark = next(iter(extracts.values())).records.sparkSession
     if folder is None:
-        first = next(iter(batch.values()))
-        frame = first.records if isinstance(first, Extract) else first
-        folder = f"{session.shared_folder(frame.sparkSession)}/assessed-{uuid.uuid4().hex}"
-    for name in ENTITIES:
-        result[name] = assess_entity(
-            name, batch[name], kept, batch_id=batch_id, processed_at=processed_at, folder=folder
-        )
+        folder = f"{session.shared_folder(spark)}/assessed-{uuid.uuid4().hex}"
+    session.remove(spark, f"{folder}/late")
+    records = session.together(
+        spark,
+        {
+            name: partial(write_records, spec, extracts[name].records, f"{folder}/{name}")
+            for name, spec in ENTITIES.items()
+        },
+    )
+    result: dict[str, Assessed] = {}
+    kept: dict[str, DataFrame] = {}
+    for name, spec in ENTITIES.items():
+        valid = records[name].filter(F.col("outcome") == VALID)
+        late_rejects(spec, valid, kept).write.parquet(f"{folder}/late/{name}")
+        late = spark.read.schema(LATE).parquet(f"{folder}/late/{name}")
+        result[name] = Assessed(spec, records[name], late, extracts[name], batch_id, processed_at)
         kept[name] = result[name].accepted
     return result
 
@@ -439,6 +425,11 @@ def strict_issues(batch: Mapping[str, DataFrame]) -> DataFrame:
             F.col("explanation").alias("message"),
         )
 
+    present = {name: spec for name, spec in ENTITIES.items() if name in batch}
+    records = session.together(
+        spark,
+        {name: partial(write_records, spec, batch[name], f"{folder}/{name}") for name, spec in present.items()},
+    )
     for name, spec in ENTITIES.items():
         if name not in batch:
             absent = spark.range(1).select(
@@ -449,12 +440,11 @@ def strict_issues(batch: Mapping[str, DataFrame]) -> DataFrame:
             parts.append(issue(absent, spec, 0))
             unpruned[name] = spark.createDataFrame([], spec.silver)
             continue
-        records = write_records(spec, batch[name], f"{folder}/{name}")
-        valid = records.filter(F.col("outcome") == VALID)
+        valid = records[name].filter(F.col("outcome") == VALID)
         late_rejects(spec, valid, unpruned).write.parquet(f"{folder}/late/{name}")
         late = spark.read.schema(LATE).parquet(f"{folder}/late/{name}")
         repeated = F.col("reason_code") == "DUPLICATE_IDENTIFIER"
-        parts.append(issue(records.filter(F.col("outcome") == INVALID), spec, 0))
+        parts.append(issue(records[name].filter(F.col("outcome") == INVALID), spec, 0))
         parts.append(issue(late.filter(repeated), spec, 0))
         parts.append(issue(late.filter(~repeated), spec, 1))
         unpruned[name] = valid.join(late.filter(repeated).select(ORDER), ORDER, "left_anti")

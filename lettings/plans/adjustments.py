@@ -19,7 +19,7 @@ from lettings.operators.intervals import (
     free_gaps,
     granted_chain,
 )
-from lettings.operators.ranking import earlier_total, position
+from lettings.operators.ranking import SMALL, earlier_total, position
 from lettings.session import shared_folder
 
 MONEY = "decimal(12,2)"
@@ -187,6 +187,7 @@ def reassign_agent(
     *,
     as_of: Column,
     buckets: int = 1024,
+    small: int = SMALL,
 ) -> DataFrame:
     """Give agents left without an active agreement one from a colleague of the same firm.
 
@@ -213,7 +214,7 @@ def reassign_agent(
         .select("agent_no", "firm", (F.col("_load") - 1).alias("_spare"))
     )
     offered = earlier_total(
-        donors, ["firm"], "agent_no", F.col("_spare"), "_before", buckets=buckets, bounds=firms
+        donors, ["firm"], "agent_no", F.col("_spare"), "_before", buckets=buckets, small=small
     )
     listed = position(
         active.select("agent_no", "agreement_id").join(
@@ -223,7 +224,7 @@ def reassign_agent(
         "agreement_id",
         "_mine",
         buckets=buckets,
-        bounds=agreements,
+        small=small,
     )
     on_offer = (
         listed.join(offered, "agent_no")
@@ -231,7 +232,7 @@ def reassign_agent(
         .select("firm", (F.col("_before") + F.col("_mine")).alias("_place"), "agreement_id")
     )
     waiting = position(
-        needy, ["firm"], "agent_no", "_place", buckets=buckets, bounds=firms
+        needy, ["firm"], "agent_no", "_place", buckets=buckets, small=small
     ).select("firm", "_place", F.col("agent_no").alias("_taker"))
     moves = on_offer.join(waiting, ["firm", "_place"]).select("agreement_id", "_taker")
     return agreements.join(moves, "agreement_id", "left").select(

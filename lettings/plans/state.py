@@ -19,6 +19,7 @@ import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -181,14 +182,19 @@ class StateStore:
         total = dict.fromkeys(("inserted_count", "updated_count", "skipped_count"), 0)
         following, changed = dict(held), {}
         try:
-            for name, spec in ENTITIES.items():
-                changed[name], metrics = self._changes(name, accepted[name], held.get(name), work)
+            merged = session.together(
+                self.spark,
+                {
+                    name: partial(self._merged, spec, accepted[name], held.get(name), attempt, work)
+                    for name, spec in ENTITIES.items()
+                },
+            )
+            for name, (records, metrics, part) in merged.items():
+                changed[name] = records
                 for column, n in metrics.items():
                     total[column] += n
-                if metrics["inserted_count"] or metrics["updated_count"]:
-                    following[name] = self._write(
-                        spec, attempt, changed[name], held.get(name), metrics["inserted_count"]
-                    )
+                if part is not None:
+                    following[name] = part
             upsert.latest_per_key(rejected, upsert.REJECTION_KEY, F.desc("source_row")).withColumn(
                 "attempt", F.lit(attempt).cast("long")
             ).write.mode("append").partitionBy("batch_id").parquet(f"{self.root}/rejections")
@@ -199,6 +205,15 @@ class StateStore:
             session.remove(self.spark, work)
         return total
 
+    def _merged(
+        self, spec: Entity, incoming: DataFrame, held: Held | None, attempt: int, work: str
+    ) -> tuple[DataFrame, dict[str, int], Held | None]:
+        """Changed records, counts, and the new state of an entity if there is one."""
+        records, metrics = self._changes(spec.name, incoming, held, work)
+        if not (metrics["inserted_count"] or metrics["updated_count"]):
+            return records, metrics, held
+        return records, metrics, self._write(spec, attempt, records, held, metrics["inserted_count"])
+
     def _changes(
         self, name: str, incoming: DataFrame, held: Held | None, work: str
     ) -> tuple[DataFrame, dict[str, int]]:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from lettings.model import PipelineError
@@ -57,3 +61,16 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of our own, wherever it lies; an absent one is no error."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+Result = TypeVar("Result")
+
+
+def together(spark: SparkSession, work: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run jobs that do not depend on each other at the same time, so that small ones fill the gaps.
+
+    All are waited for; the first failure in the given order is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(work))) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(call)) for name, call in work.items()}
+    return {name: future.result() for name, future in started.items()}

@@ -10,14 +10,17 @@ number is looked up for the records that need one.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lettings import session
 from lettings.model import ENTITIES, ORDER, ROW, Entity, Extract, PipelineError
 from lettings.operators.rules import MALFORMED
+from lettings.sources import cutting
 
 
 def extract_path(folder: str, entity: Entity) -> str:
@@ -39,17 +42,23 @@ def stamped(frame: DataFrame) -> DataFrame:
 
 def split_shifts(records: DataFrame) -> DataFrame:
     """What to add to ``_id`` to get ``source_row``, one row per split."""
+    torn = F.count_if(_open_quote()) if MALFORMED in records.columns else F.lit(0).cast("long")
     splits = records.groupBy(*SPLIT).agg(
-        F.min("_id").alias("_start"), F.count(F.lit(1)).alias("_size")
+        F.min("_id").alias("_start"), F.count(F.lit(1)).alias("_size"), torn.alias("_torn")
     )
     earlier = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    return splits.select(*SPLIT, (before - F.col("_start") + 1).alias("_shift"))
+    return splits.select(*SPLIT, (before - F.col("_start") + 1).alias("_shift"), "_torn")
+
+
+def _open_quote() -> Column:
+    """The text of an unreadable record holds a quote that is not closed: a line break has torn it."""
+    return F.length(F.regexp_replace(MALFORMED, '[^"]', "")) % 2 == 1
 
 
 def with_source_rows(records: DataFrame, shifts: DataFrame) -> DataFrame:
     return (
-        records.join(shifts, SPLIT)
+        records.join(shifts.drop("_torn"), SPLIT)
         .withColumn(ROW, F.col("_id") + F.col("_shift"))
         .drop(*SPLIT, "_id", "_shift")
     )
@@ -106,12 +115,18 @@ def _read(spark: SparkSession, path: str, entity: Entity, multiline: bool) -> Da
     return frame.select(*wanted, MALFORMED, "_metadata")
 
 
-def require_whole_records(records: DataFrame, path: str) -> None:
-    """Fail on records that a line break inside quotes has torn: they hold an open quote."""
-    open_quote = F.length(F.regexp_replace(MALFORMED, '[^"]', "")) % 2 == 1
-    # With all columns: Spark refuses a scan for the unreadable text alone.
-    if records.filter(open_quote).head(1):
-        raise PipelineError(f"Line breaks inside quotes in {path}: read it with multiline=True")
+def _read_cut(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
+    """A CSV extract with line breaks inside quotes, as ``_read`` and ``stamped`` give it."""
+    reader = spark.read.option("header", True).option("escape", '"')
+    names = reader.csv(path).columns
+    line = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).first().value
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, MALFORMED)])
+    frame = cutting.parsed(cutting.records(spark, path, line.removeprefix("\ufeff")), schema, MALFORMED)
+    wanted = [
+        F.col(f"`{name}`") if name in names else F.lit(None).cast("string").alias(name)
+        for name in entity.raw
+    ]
+    return frame.select(*wanted, MALFORMED, *SPLIT, "_id")
 
 
 def read_extract(
@@ -119,15 +134,16 @@ def read_extract(
 ) -> DataFrame:
     """One extract as text columns plus ``source_row``.
 
-    ``multiline`` is only for CSV files with line breaks inside quotes: it makes a file
-    unsplittable, so one task reads it.
+    CSV files with line breaks inside quotes are cut into records by many tasks; ``multiline`` has
+    each file read by one task instead.
     """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     try:
         records = stamped(_read(spark, path, spec, multiline))
         if spec.extract == "csv":
-            if not multiline:
-                require_whole_records(records, path)
+            # With all columns: Spark refuses a scan for the unreadable text alone.
+            if not multiline and records.filter(_open_quote()).head(1):
+                records = _read_cut(spark, path, spec)
             records = records.drop(MALFORMED)
         return with_source_rows(records, split_shifts(records))
     except AnalysisException as error:
@@ -157,21 +173,33 @@ def ingest(
     Row numbers are settled from the landed split columns, so the text is not read again, and
     every later step and every re-run task sees the same numbers.
     """
-    for name, spec in ENTITIES.items():
-        path, splits = _landing(bronze, batch_id, name)
-        extract = extract_path(source, spec)
-        try:
-            records = stamped(_read(spark, extract, spec, multiline))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                raise PipelineError(f"Required source file does not exist: {extract}") from error
-            raise
-        records.write.mode("overwrite").parquet(path)
-        if spec.extract == "csv" and not multiline:
-            require_whole_records(spark.read.parquet(path), extract)
+    session.together(
+        spark,
+        {
+            name: partial(_land, spark, spec, extract_path(source, spec), *_landing(bronze, batch_id, name), multiline)
+            for name, spec in ENTITIES.items()
+        },
+    )
+    return read_landed(spark, bronze, batch_id)
+
+
+def _land(
+    spark: SparkSession, spec: Entity, extract: str, path: str, splits: str, multiline: bool
+) -> None:
+    try:
+        records = stamped(_read(spark, extract, spec, multiline))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise PipelineError(f"Required source file does not exist: {extract}") from error
+        raise
+    records.write.mode("overwrite").parquet(path)
+    columns = [*SPLIT, "_id", *([MALFORMED] if spec.extract == "csv" and not multiline else [])]
+    shifts = split_shifts(spark.read.parquet(path).select(*columns))
+    shifts.write.mode("overwrite").parquet(splits)
+    if MALFORMED in columns and not spark.read.parquet(splits).filter("_torn > 0").isEmpty():
+        _read_cut(spark, extract, spec).write.mode("overwrite").parquet(path)
         shifts = split_shifts(spark.read.parquet(path).select(*SPLIT, "_id"))
         shifts.write.mode("overwrite").parquet(splits)
-    return read_landed(spark, bronze, batch_id)
 
 
 def read_ordered(spark: SparkSession, bronze: str, batch_id: str) -> dict[str, Extract]:

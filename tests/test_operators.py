@@ -44,6 +44,49 @@ def test_running_totals_equal_a_plain_window_on_a_hot_group(spark):
     assert sorted(row.p for row in places) == list(range(100))
 
 
+def test_running_totals_in_cut_groups_equal_a_plain_window(spark):
+    rng = random.Random(6)
+    rows = [(("hot" if i % 3 == 0 else f"g{i % 7}"), i * i, rng.randrange(9)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "g string, o long, v long")
+    for buckets in (5, 70):
+        found = ranking.earlier_total(frame, ["g"], "o", F.col("v"), "t", buckets=buckets, small=20).collect()
+        assert len(found) == 300
+        for row in found:
+            assert row.t == sum(v for g, o, v in rows if g == row.g and o < row.o)
+
+
+def test_buckets_follow_the_content(spark):
+    """Clustered numbers and one outlier: equal widths would put all but one row into one bucket."""
+    frame = spark.range(6000).select(
+        F.lit("hot").alias("g"), F.when(F.col("id") == 5999, 10**15).otherwise(F.col("id")).alias("o")
+    )
+    cut = ranking.bucketed(frame, ["g"], "o", buckets=64, small=100)
+    sizes = cut.groupBy("_bucket").agg(F.count("o").alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi"))
+    rows = sizes.orderBy("_bucket").collect()
+    assert sum(r.n for r in rows) == 6000 and max(r.n for r in rows) < 600
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_digest_sees_one_swapped_day(spark):
+    rows = [(i, f"k{i}", day(i)) for i in range(20)]
+    frame = spark.createDataFrame(rows, "id long, k string, d date")
+    swapped = spark.createDataFrame([*rows[:-2], (18, "k18", day(19)), (19, "k19", day(18))], "id long, k string, d date")
+    again = checks.digest(frame.repartition(3).orderBy(F.desc("id"))).first()
+    assert checks.digest(frame).first() == again
+    assert checks.digest(swapped).first().checksum != again.checksum
+
+
+def test_every_kind_of_data_test_finds_loosened_rows(spark):
+    frame = spark.range(400).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit("a").alias("v"), F.lit(5).alias("n"))
+    loose = checks.loosened(frame, "k")
+    assert checks.unique(loose, "k").count() > 0
+    assert checks.not_null(loose, "v").count() > 0
+    assert checks.accepted_values(loose, "v", ("a",)).count() == 1
+    assert checks.relationships(loose, "k", frame, "k").count() > 0
+    assert loose.filter("n < 0").count() > 0
+    assert checks.not_null(frame, "v").count() == 0
+
+
 def test_conflict_counts_against_brute_force(spark):
     booked, asked = random_intervals(1, 120, 6), random_intervals(2, 60, 6)
     ddl = "id long, house long, start_date date, end_date date"
@@ -212,7 +255,7 @@ def test_agents_receive_from_colleagues_of_their_firm(spark, firm_size):
     rows = [(i, 3, day(100)) for i in range(1, 1 + firm_size)] + [(50, 9, day(100)), (51, None, day(100))]
     agreements = spark.createDataFrame(rows, "agreement_id long, agent_no long, end_date date")
     released = spark.createDataFrame([(1,), (1,), (2,), (None,)], "agent_no long")
-    found = adjustments.reassign_agent(agreements, agents, released, as_of=F.lit(day(0)), buckets=4)
+    found = adjustments.reassign_agent(agreements, agents, released, as_of=F.lit(day(0)), buckets=4, small=1)
     moved = {r.agreement_id: r.agent_no for r in found.filter("action is not null").collect()}
     assert moved == ({1: 1, 2: 2} if firm_size == 3 else {})
     assert found.count() == len(rows)
