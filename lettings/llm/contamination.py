@@ -8,8 +8,10 @@ terms' lists, shifted by their offsets, are intersected with them from the rares
 counted over all documents. What is left are exact phrase matches; proximity matches ask for a
 window's rarest terms within a span instead, in any order.
 
-The test set is a stated query set that is held against all segments in blocks of bounded size;
-a larger one takes more passes over the index, never a larger broadcast.
+The test set is a stated query set that is held against all segments in blocks of bounded size.
+What a block finds is written at once, one row for each document with a match, and the block is let go; a
+larger test set takes more passes over the index, never a larger broadcast or a longer plan. Found rows
+are added up by document and joined with the index's list of documents once.
 
 Null, empty and wordless texts have no words and no hits. Items without words have no window; items
 with the same id are one item, and items without an id are one item named ``null``. Empty tables
@@ -42,6 +44,7 @@ _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
 )
+FOUND = "row long, stretches array<int>, items array<string>, near array<string>"
 _INDEX = (
     "row array<long>, first array<int>, n_words array<int>, terms binary, counts binary, postings binary"
 )
@@ -277,25 +280,21 @@ def _frequencies(segments: DataFrame, windows: Windows) -> dict[bytes, int]:
 
 
 def _search(segments: DataFrame, windows: Windows, proximity: bool) -> DataFrame:
-    """Per document: hit stretches of words, items with phrase matches, items with near matches."""
+    """Per document with any: hit stretches of words, items with phrase matches, items near."""
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            kinds = [part.schema.field("keys").type.value_type, pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            kinds += [pa.list_(pa.string())] * 2
+            kinds = [pa.int64(), pa.list_(pa.int32()), *[pa.list_(pa.string())] * 2]
             for row in part.to_pylist():
                 found = _matches(Segment(row, windows.terms), windows, proximity)
-                columns = [row["keys"], row["row"], row["n_words"], *found]
+                hit = [at for at, (x, _, z) in enumerate(zip(*found, strict=True)) if x or z]
+                columns = [[x[at] for at in hit] for x in (row["row"], *found)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, k) for x, k in zip(columns, kinds, strict=True)],
-                    ["key", "row", "n_words", "stretches", "items", "near"],
+                    ["row", "stretches", "items", "near"],
                 )
 
-    kind = segments.schema["keys"].dataType.elementType.simpleString()
-    return segments.mapInArrow(
-        search,
-        f"key {kind}, row long, n_words long, stretches array<int>, items array<string>, near array<string>",
-    )
+    return segments.mapInArrow(search, FOUND)
 
 
 def _matches(segment: Segment, windows: Windows, proximity: bool) -> tuple[list, list, list]:
@@ -337,6 +336,34 @@ def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[Windows]:
             yield Windows([(x["item"], bytes(x["words"])) for x in own])
 
 
+def _found(
+    segments: DataFrame, benchmark: DataFrame, item_key: str, item_text: str, proximity: bool
+) -> DataFrame:
+    """One row for each document with a match, over all blocks."""
+    spark = segments.sparkSession
+    path = common.work_folder(spark, "found")
+    some = False
+    for windows in _blocks(benchmark, item_key, item_text):
+        windows.order(_frequencies(segments, windows))
+        _search(segments, windows, proximity).write.mode("append").parquet(path)
+        some = True
+    if not some:
+        return spark.createDataFrame([], FOUND)
+    both = {x: F.flatten(F.collect_list(x)).alias(x) for x in ("stretches", "items", "near")}
+    once = spark.read.schema(FOUND).parquet(path).groupBy("row").agg(*both.values())
+    return once.select(
+        "row", "stretches", F.array_distinct("items").alias("items"), F.array_distinct("near").alias("near")
+    )
+
+
+def _listed(segments: DataFrame) -> DataFrame:
+    """Key, number and words of every document in the index."""
+    rows = segments.select(F.explode(F.arrays_zip("keys", "row", "n_words")).alias("d"))
+    return rows.select(
+        F.col("d.keys").alias("key"), F.col("d.row").alias("row"), F.col("d.n_words").cast("long").alias("n_words")
+    )
+
+
 def matches(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -352,24 +379,10 @@ def matches(
     """
     common.prepare(documents.sparkSession)
     segments = index(documents, key, text)
-    found = None
-    several = False
-    for windows in _blocks(benchmark, item_key, item_text):
-        windows.order(_frequencies(segments, windows))
-        part = _search(segments, windows, proximity)
-        several = found is not None
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        empty = Windows([])
-        return _search(segments, empty, proximity)
-    if not several:
-        return found
-    joined = {x: F.flatten(F.collect_list(x)).alias(x) for x in ("stretches", "items", "near")}
-    once = found.groupBy("row").agg(
-        F.first("key").alias("key"), F.first("n_words").alias("n_words"), *joined.values()
-    )
-    return once.select(
-        "key", "row", "n_words", "stretches", F.array_distinct("items").alias("items"), F.array_distinct("near").alias("near")
+    found = _found(segments, benchmark, item_key, item_text, proximity)
+    none = {"stretches": "array<int>", "items": "array<string>", "near": "array<string>"}
+    return _listed(segments).join(found, "row", "left").select(
+        "key", "row", "n_words", *[F.coalesce(x, F.array().cast(kind)).alias(x) for x, kind in none.items()]
     )
 
 
@@ -391,15 +404,14 @@ def _described(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near_digests.append(hashlib.sha256(",".join(sorted(near)).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
-                part.column("key"),
-                part.column("n_words"),
+                part.column("row"),
                 pa.array(hits, pa.int64()),
                 pa.array(counts, pa.int64()),
                 pa.array(digests, pa.string()),
                 pa.array(near_counts, pa.int64()),
                 pa.array(near_digests, pa.string()),
             ],
-            ["key", "n_words", "n_hit", "n_items", "items_sha256", "n_near", "near_sha256"],
+            ["row", "n_hit", "n_items", "items_sha256", "n_near", "near_sha256"],
         )
 
 
@@ -408,21 +420,27 @@ def judged(
     benchmark: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    proximity: bool = False,
-    **names: str,
+    item_key: str = "item_id",
+    item_text: str = "text",
+    proximity: bool = True,
 ) -> DataFrame:
     """Counts per document; contaminated from a twentieth of its words on.
 
     With ``proximity`` come ``n_near`` and ``near_sha256``, the items near; they don't contaminate.
     """
-    found = matches(documents, benchmark, key, text, proximity=proximity, **names)
-    kind = found.schema["key"].dataType.simpleString()
-    counted = found.mapInArrow(
+    common.prepare(documents.sparkSession)
+    segments = index(documents, key, text)
+    counted = _found(segments, benchmark, item_key, item_text, proximity).mapInArrow(
         _described,
-        f"key {kind}, n_words long, n_hit long, n_items long, items_sha256 string, n_near long, near_sha256 string",
+        "row long, n_hit long, n_items long, items_sha256 string, n_near long, near_sha256 string",
+    )
+    zero, nothing = F.lit(0).cast("long"), F.lit(hashlib.sha256(b"").hexdigest())
+    columns = {"n_hit": zero, "n_items": zero, "items_sha256": nothing, "n_near": zero, "near_sha256": nothing}
+    joined = _listed(segments).join(counted, "row", "left").withColumns(
+        {name: F.coalesce(F.col(name), absent) for name, absent in columns.items()}
     )
     rule = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return counted.select(
+    return joined.select(
         F.col("key").alias(key),
         "n_words",
         "n_hit",
@@ -439,5 +457,5 @@ def clean(
     """All columns of the documents that are not contaminated."""
     common.prepare(documents.sparkSession)
     rows, number = common.numbered(documents)
-    found = judged(rows.select(number, text), benchmark, number, text, **names)
+    found = judged(rows.select(number, text), benchmark, number, text, proximity=False, **names)
     return common.without(rows, number, found.filter("contaminated"))

@@ -20,14 +20,43 @@ dw AS (
 ),
 hits AS (SELECT r, s, width, item FROM dw JOIN iw USING (width, win)),
 places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + width)) AS p FROM hits) GROUP BY r),
+words AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+counted AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+ranked AS (
+  SELECT win, word, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY win, width ORDER BY coalesce(n, 0), pos) AS k, width
+  FROM (SELECT width, win, unnest(string_split(win, ' ')) AS word, unnest(range(width)) AS pos
+    FROM (SELECT DISTINCT width, win FROM iw)) LEFT JOIN counted USING (word)
+),
+rarest AS (
+  SELECT win, width, list_sort(list(DISTINCT word)) AS terms, min_by(word, k) AS anchor
+  FROM ranked WHERE k <= 4 GROUP BY win, width HAVING min(n) > 0
+),
+sets AS (SELECT terms, min(anchor) AS anchor FROM rarest GROUP BY terms),
+around AS (
+  SELECT terms, r, pos, word
+  FROM (SELECT DISTINCT terms, r FROM sets JOIN words ON word = anchor) c
+    JOIN (SELECT terms, unnest(terms) AS word FROM sets) t USING (terms) JOIN words USING (r, word)
+),
+close AS (
+  SELECT DISTINCT terms, r FROM (
+    SELECT a.terms, a.r, a.pos FROM around a JOIN around b
+      ON a.terms = b.terms AND a.r = b.r AND b.pos BETWEEN a.pos AND a.pos + 38
+    GROUP BY a.terms, a.r, a.pos HAVING count(DISTINCT b.word) = len(a.terms)
+  )
+),
+near AS (
+  SELECT r, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near
+  FROM (SELECT DISTINCT r, item FROM close JOIN rarest USING (terms) JOIN iw USING (win, width)) GROUP BY r
+),
 named AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN places USING (r) LEFT JOIN named USING (r)
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(n_near, 0) AS n_near, sha256(coalesce(near, '')) AS near_sha256
+FROM d LEFT JOIN places USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)
 """
 
 _BYTES = "list_transform(range(0, CAST(length(hex(word)) / 2 AS BIGINT)), lambda i: (instr('0123456789ABCDEF', substr(hex(word), 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex(word), 2 * i + 2, 1)) - 1)"

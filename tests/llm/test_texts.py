@@ -175,6 +175,28 @@ def test_copies_of_items_do_not_fill_a_block(spark, monkeypatch):
     assert max(sizes) <= 100
 
 
+def test_fifty_blocks_find_what_one_does(spark, monkeypatch):
+    items = [(f"i{i}", " ".join(f"w{i}x{k % 9}" for k in range(15))) for i in range(60)]
+    texts = [(i, f"some {text} more" if i % 3 else "clean words") for i, (_, text) in enumerate(items)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    made = []
+
+    class Counted(contamination.Windows):
+        def __init__(self, chunks):
+            made.append(len(chunks))
+            super().__init__(chunks)
+
+    one = sorted(tuple(r) for r in contamination.judged(documents, benchmark).collect())
+    monkeypatch.setattr(contamination, "Windows", Counted)
+    monkeypatch.setattr(contamination, "BLOCK_WORDS", 10)
+    several = contamination.judged(documents, benchmark)
+    assert len(made) >= 40 and max(made) < 10
+    assert sorted(tuple(r) for r in several.collect()) == one
+    assert "Union" not in several._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(r[2] > 0 for r in one) == 40
+
+
 def test_proximity_finds_scattered_terms(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     near = "thirteen x eleven x twelve ten nine eight seven six five four three two one"
