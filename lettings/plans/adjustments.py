@@ -296,20 +296,27 @@ def free_house_assignment(
     free and for the first free one of its space otherwise, and each house serves those that ask by
     start and then id. Whoever overlaps a granted request asks again in the next wave, when that house
     is taken; so waves are bounded by the houses of a space, however many requests fight for one.
-    Waves are cut by checkpoints in the shared folder.
+    A wave looks at the spaces with open requests only. Waves are cut by checkpoints in the shared folder.
     """
     shared_folder(requests.sparkSession)
+    homes = houses.select("house_id", "space_id")
     booked = _closed(stored, as_of).select("house_id", "start_date", "end_date")
     waiting = requests.select("agreement_id", "house_id", "start_date", "end_date")
     settled: list[DataFrame] = []
     while True:
-        judged = _wave(waiting, booked, houses).checkpoint()
+        # Only spaces that still have open requests matter, and they become fewer.
+        spaces = waiting.select("house_id").distinct().join(homes, "house_id").select("space_id").distinct()
+        homes = homes.join(spaces, "space_id", "left_semi").select("house_id", "space_id")
+        if settled:
+            homes = homes.checkpoint()
+            booked = booked.join(homes.select("house_id"), "house_id", "left_semi").checkpoint()
+        judged = _wave(waiting, booked, homes).checkpoint()
         settled.append(judged.filter("placement is not null"))
         again = judged.filter("placement is null")
         if again.isEmpty():
             return reduce(DataFrame.unionByName, settled)
         granted = judged.filter("placement in ('KEPT', 'MOVED')").select(*booked.columns)
-        booked = booked.unionByName(granted).checkpoint()
+        booked = booked.unionByName(granted)
         waiting = again.select(
             "agreement_id", F.col("requested_house").alias("house_id"), "start_date", "end_date"
         )
