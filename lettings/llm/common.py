@@ -53,14 +53,19 @@ def placed(documents: DataFrame, name: str, *columns: Column) -> DataFrame:
     """Some columns and, as ``name``, the row's place (``file``, ``row``) in the stored files.
 
     A place stays the same however often and in which tasks the files are read; the file is known
-    by a 64-bit hash of its path. Rows that do not come straight from files are stored first.
+    by a 64-bit hash of its path. Rows that do not come straight from files are stored first. A column
+    of the documents that is called ``_metadata`` does not hide the files' own.
     """
-    file, row = F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    place = F.struct(file, row).alias(name)
+
+    def place(rows: DataFrame) -> DataFrame:
+        of_file = rows.metadataColumn("_metadata")
+        parts = F.xxhash64(of_file["file_path"]).alias("file"), of_file["row_index"].alias("row")
+        return rows.select(F.struct(*parts).alias(name), *columns)
+
     try:
-        return documents.select(place, *columns)
+        return place(documents)
     except AnalysisException:
-        return stored(documents, "rows").select(place, *columns)
+        return place(stored(documents, "rows"))
 
 
 def numbered(documents: DataFrame) -> tuple[DataFrame, str]:

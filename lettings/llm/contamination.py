@@ -15,7 +15,8 @@ are added up by document and joined with the index's list of documents once.
 
 Null, empty and wordless texts have no words and no hits. Items without words have no window; items
 with the same id are one item, and items without an id are one item named ``null``. Empty tables
-give no hits or no rows. Repeated documents are judged each for itself. Other columns are not read.
+give no hits or no rows. Repeated documents are judged each for itself. Other columns are not read. Texts of any length are
+indexed whole; a segment ends with the text that fills it.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ Not every suffix is shuffled for that:
 A text that many rows share is a group of equal runs: it is counted before the shuffle and never
 gathered. Null and empty texts have no bytes; texts shorter than a window lose nothing. Rows without
 an id and repeated rows are rows like any other. An empty table gives an empty result; columns other
-than the id and the text are not read.
+than the id and the text are not read. Texts of any length are
+read whole; equal strings are counted wherever they start, so ties need no order.
 """
 
 from __future__ import annotations

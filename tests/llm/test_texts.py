@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from lettings.llm import contamination, graph, packing, pii, repeats, secret_scan, simhash, token_counts
+from lettings.llm import common, contamination, graph, packing, pii, repeats, secret_scan, simhash, token_counts
 
 SCHEMA = "doc_id long, text string, key string, row long, digit int"
 ODD = [
@@ -175,6 +175,18 @@ def test_copies_of_items_do_not_fill_a_block(spark, monkeypatch):
     assert max(sizes) <= 100
 
 
+def test_a_column_called_metadata_hides_no_file(spark, tmp_path):
+    rows = [(i, "some words of a text " * (i + 1), "own", 3) for i in range(4)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, _metadata string, row_number int")
+    made.write.parquet(f"{tmp_path}/rows")
+    for documents in (made, spark.read.parquet(f"{tmp_path}/rows")):
+        numbered, number = common.numbered(documents)
+        assert numbered.select(number).distinct().count() == 4 and "_metadata" in numbered.columns
+        assert {r["_metadata"] for r in numbered.select("_metadata").collect()} == {"own"}
+        assert repeats.digest(documents).count() == 4
+        assert simhash.first_of_each(documents).columns == documents.columns
+
+
 def test_fifty_blocks_find_what_one_does(spark, monkeypatch):
     items = [(f"i{i}", " ".join(f"w{i}x{k % 9}" for k in range(15))) for i in range(60)]
     texts = [(i, f"some {text} more" if i % 3 else "clean words") for i, (_, text) in enumerate(items)]
