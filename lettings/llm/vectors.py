@@ -1,12 +1,14 @@
 """Near copies among embeddings: spherical k-means cells and blocked cosine products within cells.
 
-Equal vectors with equal labels are one vector with a weight. Centroids are fitted on a bounded
-sample; every vector is then assigned to its nearest cell, its home, and visits the other cells whose
-centroid is nearly as close. Within a cell and a label, the blocks of home
-vectors are multiplied with each other and with the blocks of visitors. Visitors are never compared
-among themselves, and a pair that both vectors' cells find is counted in the cell of lower number
-only. Each product adds up the links of its vectors and reduces its pairs to a spanning forest, so
-pairs are counted exactly but never sent on.
+Equal vectors with equal labels are one vector with a weight. A label with over ``CELL`` different
+vectors has cells of its own: centroids are fitted on a bounded sample of its vectors, each label in
+its own task. Every vector is then assigned to its nearest cell, its home, and visits the other cells
+of its label whose centroid is nearly as close; vectors are dealt to tasks in parts of bounded size,
+each with its label's centroids, so neither a hot label nor many labels fill a task or the driver.
+Within a cell, the blocks of home vectors are multiplied with each other and with the blocks of
+visitors. Visitors are never compared among themselves, and a pair that both vectors' cells find is
+counted in the cell of lower number only. Each product adds up the links of its vectors and reduces
+its pairs to a spanning forest, stripe by stripe, so pairs are counted exactly but never sent on.
 
 Cells have some ``CELL`` vectors as long as their number may grow; larger ones have more blocks, and
 none of them is larger than ``BLOCK``. A vector x of home h visits the cell of centroid c if
@@ -17,7 +19,8 @@ homes h and c, what x falls short by in c and y in h adds up to ``(x - y).(h - c
 Vectors that are null, empty or zero, that hold null or non-finite components, that have another
 number of components than the one compared with, or that have no label, link with nothing. Rows without an
 id take part but name a component only if all its ids are null. Repeated rows are rows of their own.
-An empty table gives an empty result; other columns are not read.
+Ties between cells go to the lower number. An empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -33,14 +36,18 @@ from pyspark.sql import functions as F
 from lettings.llm import common, graph
 
 THRESHOLD = 0.93
-#: Vectors in a cell, and the greatest number of cells.
+#: Vectors in a cell, and the greatest number of cells of a label.
 CELL = 2000
 CELLS = 1024
 #: Sample of the fit: vectors for each cell.
 SAMPLE = 24
 #: Added to the square of a visit's bound, for rounding.
 ROUNDING = 1e-12
-BLOCK = 1024
+BLOCK = 2048
+#: Rows of a block that are multiplied at once.
+STRIPE = 256
+#: Cosines with centroids that one task computes at once, and the fewest vectors it takes.
+ASSIGNED, LEAST_ASSIGNED = 262_144, 256
 ROUNDS = 12
 
 
@@ -99,45 +106,77 @@ def _matrix(units: pd.Series | list) -> np.ndarray:
     return np.frombuffer(b"".join(units), "<f8").reshape(len(units), -1)
 
 
-def _assigned(centroids: dict[int, np.ndarray], threshold: float):
-    """A row for the home of each vector and one for each cell that it visits."""
+def _fitted(rows: pd.DataFrame) -> pd.DataFrame:
+    """The centroids of one label and width, from its sample."""
+    sample = _matrix(sorted(rows["unit"].tolist()))
+    found = rows[["label", "width"]].iloc[:1].copy()
+    found["centroids"] = [fit(sample, int(rows["cells"].iloc[0])).astype("<f8").tobytes()]
+    return found
+
+
+_PLACES = ["node", "label", "weight", "unit", "width", "cell", "home", "visits"]
 
-    def assign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slack = np.sqrt(max(0.0, (1 - threshold) / 2) + ROUNDING)
-        margins = {}
-        for width, own in centroids.items():
-            squares = (own * own).sum(1)
-            apart = squares[:, None] + squares - 2 * own @ own.T
-            margins[width] = slack * np.sqrt(np.maximum(apart, 0) + ROUNDING)
-        for part in parts:
-            units = part.column("unit").to_pylist()
-            widths = np.array([len(x) // 8 for x in units])
-            for width in np.unique(widths).tolist():
-                at = np.flatnonzero(widths == width)
-                own = part.take(pa.array(at))
-                cosines = _matrix([units[i] for i in at]) @ centroids[width].T
-                home = cosines.argmax(1)
-                near = cosines >= cosines[np.arange(len(at)), home][:, None] - margins[width][home]
-                row, cell = np.nonzero(near)
-                visits = np.split(cell, np.flatnonzero(np.diff(row)) + 1)
-                columns = [own.column(c).take(pa.array(row)) for c in ("node", "label", "weight", "unit")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *columns,
-                        pa.array(np.full(len(row), width), pa.int32()),
-                        pa.array(cell, pa.int32()),
-                        pa.array(home[row], pa.int32()),
-                        pa.array([visits[r] for r in row], pa.list_(pa.int32())),
-                    ],
-                    ["node", "label", "weight", "unit", "width", "cell", "home", "visits"],
-                )
+
+def _assigned(threshold: float):
+    """A row for the home of each vector and one for each cell that it visits."""
+    slack = np.sqrt(max(0.0, (1 - threshold) / 2) + ROUNDING)
+
+    def assign(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({name: [] for name in _PLACES})
+        units = _matrix(rows["unit"].tolist())
+        if len(fitted):
+            centroids = np.frombuffer(fitted["centroids"].iloc[0], "<f8").reshape(-1, units.shape[1])
+        else:
+            centroids = np.zeros((1, units.shape[1]))
+        cosines = units @ centroids.T
+        home = cosines.argmax(1)
+        squares = (centroids * centroids).sum(1)
+        apart = squares[home][:, None] + squares - 2 * centroids[home] @ centroids.T
+        margins = slack * np.sqrt(np.maximum(apart, 0) + ROUNDING)
+        row, cell = np.nonzero(cosines >= cosines[np.arange(len(units)), home][:, None] - margins)
+        visits = np.split(cell.astype(np.int32), np.flatnonzero(np.diff(row)) + 1)
+        found = rows[["node", "label", "weight", "unit", "width"]].iloc[row].reset_index(drop=True)
+        found["cell"] = cell.astype(np.int32)
+        found["home"] = home[row].astype(np.int32)
+        found["visits"] = [visits[r] for r in row]
+        return found
 
     return assign
 
 
-def _forest(count: int, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """The root of every row after joining the linked ones."""
-    root = np.arange(count)
+def _placed(nodes: DataFrame, cell: int, threshold: float) -> DataFrame:
+    """Every vector at home and in each cell it visits; small labels are one cell."""
+    group = ["label", "width"]
+    sizes = (
+        nodes.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > cell)
+        .withColumn("cells", F.least(F.lit(CELLS), F.ceil(F.col("n") / cell)).cast("int"))
+        .withColumn("parts", F.ceil(F.col("n") / F.greatest(F.lit(LEAST_ASSIGNED), F.lit(ASSIGNED) / F.col("cells"))).cast("int"))
+    )
+    kinds = ", ".join(f"{name} {nodes.schema[name].dataType.simpleString()}" for name in _PLACES[:5])
+    small = nodes.join(sizes, group, "left_anti").select(
+        *_PLACES[:5], F.lit(0).alias("cell"), F.lit(0).alias("home"), F.array(F.lit(0)).alias("visits")
+    )
+    large = nodes.join(sizes, group)
+    share = F.least(F.lit(1.0), SAMPLE * F.greatest(F.col("cells"), F.lit(64)) / F.col("n"))
+    sample = large.filter(common.in_sample(F.col("unit"), share, "cells")).select(*group, "unit", "cells")
+    key_kinds = ", ".join(f"{name} {nodes.schema[name].dataType.simpleString()}" for name in group)
+    centroids = sample.groupBy(*group).applyInPandas(_fitted, f"{key_kinds}, centroids binary")
+    spread = centroids.join(sizes, group).select(
+        *group, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "centroids"
+    )
+    dealt = large.select(*_PLACES[:5], F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    key = [*group, "part"]
+    found = dealt.groupBy(*key).cogroup(spread.groupBy(*key)).applyInPandas(
+        _assigned(threshold), f"{kinds}, cell int, home int, visits array<int>"
+    )
+    return small.unionByName(found)
+
+
+def _forest(root: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The root of every row after joining the linked ones, given the roots before."""
     while True:
         least = np.minimum(root[one], root[other])
         before = root.copy()
@@ -170,28 +209,28 @@ def _product(threshold: float):
         same = bool(rows["same"].iloc[0])
         b = a if same else np.flatnonzero(~left)
         links = np.zeros(len(rows), np.int64)
-        ones, others = [], []
+        root = np.arange(len(rows))
         if len(a) and len(b):
             cell = int(rows["cell"].iloc[0])
             units = _matrix(rows["unit"].tolist())
             weight = rows["weight"].to_numpy()
             homes = rows["home"].to_numpy()
-            pairs = np.argwhere(units[a] @ units[b].T >= threshold)
-            one, other = a[pairs[:, 0]], b[pairs[:, 1]]
-            if same:
-                kept = one < other
-            else:
-                # The other cell finds the pair too if the home vector visits it.
-                visited = _visit(rows["visits"].iloc[a].tolist(), pairs[:, 0], homes[other])
-                kept = (homes[other] == cell) | ~visited | (homes[other] > cell)
-            one, other = one[kept], other[kept]
-            np.add.at(links, one, weight[other])
-            np.add.at(links, other, weight[one])
-            ones.append(one)
-            others.append(other)
-        none = np.zeros(0, np.int64)
-        one, other = (np.concatenate(x) if x else none for x in (ones, others))
-        root = _forest(len(rows), one, other)
+            others = units[b].T
+            for at in range(0, len(a), STRIPE):
+                own = a[at : at + STRIPE]
+                pairs = np.argwhere(units[own] @ others >= threshold)
+                one, other = own[pairs[:, 0]], b[pairs[:, 1]]
+                if same:
+                    kept = one < other
+                else:
+                    # The other cell finds the pair too if the home vector visits it.
+                    visited = _visit(rows["visits"].iloc[own].tolist(), pairs[:, 0], homes[other])
+                    kept = (homes[other] == cell) | ~visited | (homes[other] > cell)
+                one, other = one[kept], other[kept]
+                if len(one):
+                    np.add.at(links, one, weight[other])
+                    np.add.at(links, other, weight[one])
+                    root = _forest(root, one, other)
         nodes = rows["node"].to_numpy()
         found = pd.DataFrame({"node": nodes, "links": links, "root": nodes[root]})
         return found[links > 0]
@@ -221,28 +260,11 @@ def linked(
     nodes = common.stored(
         valid.groupBy("label", "unit")
         .agg(F.count(F.lit(1)).alias("weight"), F.min("key").alias("least"))
+        .withColumn("width", (F.length("unit") / 8).cast("int"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    width = (F.length("unit") / 8).cast("int")
-    sizes = {x["width"]: x["n"] for x in nodes.groupBy(width.alias("width")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    centroids = {}
-    for components, count in sizes.items():
-        cells = min(CELLS, -(-count // cell))
-        share = common.share_of(count, SAMPLE * max(cells, 64))
-        chosen = nodes.filter((width == components) & common.in_sample(F.col("unit"), share, "cells"))
-        sample = sorted(bytes(x["unit"]) for x in chosen.select("unit").collect())
-        if not sample:
-            sample = [bytes(nodes.filter(width == components).agg(F.min("unit")).first()[0])]
-        centroids[components] = fit(_matrix(sample), cells)
-    assigned = common.stored(
-        nodes.select("node", "label", "weight", "unit").mapInArrow(
-            _assigned(centroids, threshold),
-            f"node long, label {kinds['label']}, weight long, unit binary, width int, cell int, "
-            "home int, visits array<int>",
-        ),
-        "cells",
-    )
+    assigned = common.stored(_placed(nodes, cell, threshold), "cells")
     products = _blocks(assigned, block).groupBy("width", "cell", "label", "i", "j")
     found = common.stored(products.applyInPandas(_product(threshold), "node long, links long, root long"), "links")
     parts = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -184,6 +184,25 @@ def test_no_link_is_lost_between_cells(spark, components, count, cell):
     assert found == dict(enumerate(wanted.tolist()))
 
 
+def test_labels_have_cells_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "ASSIGNED", 600)
+    monkeypatch.setattr(vectors, "LEAST_ASSIGNED", 40)
+    monkeypatch.setattr(vectors, "STRIPE", 7)
+    state = np.random.default_rng(9)
+    units = state.normal(size=(900, 4))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    labels = np.where(state.random(900) < 0.4, "hot", state.integers(0, 30, 900).astype(str))
+    rows = [(i, x.tolist(), str(y)) for i, (x, y) in enumerate(zip(units, labels, strict=True))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    found = {r.vec_id: r.n_links for r in vectors.kept_and_linked(table, cell=20, block=16).collect()}
+    wanted = ((units @ units.T >= vectors.THRESHOLD) & (labels[:, None] == labels)).sum(1) - 1
+    assert found == dict(enumerate(wanted.tolist()))
+    unit = "cast(cast(embedding as string) as binary) as unit"
+    nodes = table.selectExpr("vec_id as node", "label", "1L as weight", "4 as width", unit)
+    small = vectors._placed(nodes.filter("label != 'hot'"), 100, vectors.THRESHOLD)
+    assert small.filter("cell != 0 or size(visits) != 1").count() == 0
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     """The rows that each stage of the pipeline is given and returns."""
