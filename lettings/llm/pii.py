@@ -4,8 +4,10 @@ Base spans follow the patterns of ``base_spans`` and always stay. The field look
 digits and at-signs, cuts them into units (letters, digits, single marks, blanks) and scores whole
 candidate segments of at most ``LONGEST`` units by features of the segment and its neighbours: how
 many digits, how grouped, which marks, whether a check digit holds, what stands before and after.
-Dynamic programming over the units of a window finds the best choice of segments and their types at
-once. Its spans count where no base span overlaps them.
+Dynamic programming over the segments of a text finds the best choice of boundaries and types at once.
+Its spans count where no base span overlaps them. Features of a segment follow from sums over its
+units, so the segments of many windows are scored together in arrays; ``features`` says the same for
+one segment, in training.
 
 The field is trained here, by gradient ascent on the likelihood of whole segmentations, from a
 bounded sample: windows of some ``SAMPLE_ROWS`` documents chosen by hash, at most ``SAMPLE_WINDOWS``
@@ -13,7 +15,9 @@ of them. Base spans are their labels; telephone numbers also come without plus s
 that such numbers are found as well. Without a labelled window nothing is added.
 
 Null and empty texts have no spans. Rows without an id and repeated rows are rows like any other; an
-empty table gives an empty result. Work per text is linear in its length.
+empty table gives an empty result. Equal scores are settled for the segments that end first. Work per
+text is linear in its length, and memory beyond the text in ``UNITS`` and the segments that score above
+zero.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,9 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 3000
 SAMPLE_WINDOWS = 500
 LONGEST = 24
+#: Characters of the longest segment, and units that are scored at once.
+WIDEST = 96
+UNITS = 4096
 EPOCHS = 12
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -191,35 +199,199 @@ def segments_from(text: str, cut: list[tuple[int, int]], first: int) -> Iterator
         return
     for last in range(first, min(first + LONGEST, len(cut))):
         end = cut[last][1]
-        if text[end - 1] == "\n" or end - start > 96:
+        if text[end - 1] == "\n" or end - start > WIDEST:
             return
         if text[end - 1].isalnum() and _HINT.search(text, start, end):
             yield last + 1
 
 
-def decoded(text: str, start: int, end: int, weights: np.ndarray) -> list[Span]:
-    """The choice of segments and kinds of the highest score; a unit outside scores nothing.
+_SUMS = (
+    "starts", "ends", "stop", "hint", "digits", "dots", "ats", "letters", "starts_with_letter", "ends_with_letter",
+    "plus", "opening", "closing", "blanks", "dashes", "slash", "other_mark", "not_decimal", "groups",
+)
+_FLAGS = (
+    "at", "ats", "dot_after_at", "letters", "starts_with_letter", "ends_with_letter", "plus", "brackets", "open_bracket",
+    "blanks", "dashes", "slash", "other_mark", "octets", "check_digit", "one_group", "grouped", "even_groups",
+    "last_group_4", "first_group_3",
+)
+
+
+def _unit_values(own: str) -> tuple[int, ...]:
+    """What a unit adds to the sums of ``_SUMS``."""
+    group = "0" <= own[0] <= "9"
+    return (
+        own[0].isalnum() or own[0] in "+(",
+        own[-1].isalnum(),
+        own[-1] == "\n",
+        group or own == "@",
+        len(own) if group else 0,
+        own == ".",
+        own == "@",
+        any(map(str.isalpha, own)),
+        own[0].isalpha(),
+        own[-1].isalpha(),
+        own == "+",
+        own == "(",
+        own == ")",
+        " " in own,
+        own == "-",
+        own == "/",
+        any(c not in "+.()- @_%/" and not c.isalnum() for c in own),
+        own != "." and not own.isdecimal(),
+        group,
+    )
+
+
+@lru_cache(4096)
+def _side_number(character: str) -> int:
+    return _SIDES.index(_side(character))
+
+
+def _before(values: np.ndarray) -> np.ndarray:
+    """Sums of what stands before each place."""
+    return np.concatenate([np.zeros((1, *values.shape[1:]), np.int64), np.cumsum(values, 0, np.int64)])
+
+
+class Segments:
+    """Candidate segments that begin with the first ``count`` of some units, and their features.
+
+    ``first`` and ``last`` are their units (``last`` exclusive); ``features`` are numbers of features of
+    which each segment has one a column, ``flags`` those of ``_FLAGS`` that hold.
+    """
+
+    def __init__(self, text: str, bounds: list[tuple[int, int, int]], count: int):
+        own = [text[a : min(b, a + WIDEST + 1)] for a, b, _ in bounds]
+        kinds = {unit: number for number, unit in enumerate(dict.fromkeys(own))}
+        table = np.array([_unit_values(unit) for unit in kinds], np.int64)
+        values = table[[kinds[unit] for unit in own]]
+        sums = _before(values)
+        starts, ends, window = (np.array(x) for x in zip(*bounds, strict=True))
+        self.first, self.last = self._bounds(values, sums, starts, ends, window, count)
+        first, last = self.first, self.last
+        n = dict(zip(_SUMS, (sums[last] - sums[first]).T, strict=True))
+        before = np.array([_side_number(text[a - 1 : a] if a else "") for a in starts.tolist()])
+        after = np.array([_side_number(text[b : b + 1]) for b in ends.tolist()])
+        groups = sums[:, _SUMS.index("groups")]
+        digits = sums[:, _SUMS.index("digits")]
+        places = np.searchsorted(_COUNTS, n["digits"], "right") - 1
+        self.features = np.stack(
+            [
+                np.full(len(first), _NUMBER["always"]),
+                _NUMBER[f"digits_{_COUNTS[0]}"] + places,
+                _NUMBER["dots_0"] + np.minimum(n["dots"], 4),
+                _NUMBER["groups_0"] + np.minimum(n["groups"], 5),
+                _NUMBER[f"before_{_SIDES[0]}"] + before[first],
+                _NUMBER[f"after_{_SIDES[0]}"] + after[last - 1],
+            ],
+            1,
+        )
+        at_place = np.maximum.accumulate(np.where(values[:, _SUMS.index("ats")] > 0, np.arange(len(own)), 0))
+        dots = sums[:, _SUMS.index("dots")]
+        octets = (n["dots"] == 3) & (n["not_decimal"] == 0)
+        for at in np.flatnonzero(octets).tolist():
+            octets[at] = _octets(text[starts[first[at]] : ends[last[at] - 1]])
+        sizes = values[values[:, _SUMS.index("groups")] > 0, _SUMS.index("digits")]
+        sizes = np.append(sizes, [0, 0])
+        changes = _before(np.diff(sizes) != 0)
+        one, other = groups[first], groups[last] - 1
+        several, any_group = n["groups"] > 1, n["groups"] > 0
+        named = {
+            "at": n["ats"] == 1,
+            "ats": n["ats"] > 1,
+            "dot_after_at": (n["ats"] == 1) & (dots[last] > dots[at_place[last - 1]]),
+            "starts_with_letter": values[first, _SUMS.index("starts_with_letter")] > 0,
+            "ends_with_letter": values[last - 1, _SUMS.index("ends_with_letter")] > 0,
+            "plus": values[first, _SUMS.index("plus")] > 0,
+            "brackets": (n["opening"] > 0) & (n["closing"] > 0),
+            "open_bracket": (n["opening"] > 0) != (n["closing"] > 0),
+            "octets": octets,
+            "check_digit": self._check_digit("".join(x for x in own if "0" <= x[0] <= "9"), digits[first], digits[last]),
+            "one_group": n["groups"] == 1,
+            "grouped": n["groups"] > 2,
+            "even_groups": several & (changes[np.maximum(other, 0)] == changes[one]),
+            "last_group_4": any_group & (sizes[other] == 4),
+            "first_group_3": (any_group & (sizes[one] == 3)) | (several & (sizes[one + 1] == 3)),
+        }
+        self.flags = np.stack([named[x] if x in named else n[x] > 0 for x in _FLAGS], 1)
+
+    @staticmethod
+    def _bounds(values, sums, starts, ends, window, count) -> tuple[np.ndarray, np.ndarray]:
+        """Segments inside one window, not too wide, that begin and end well and hold a hint."""
+        size = len(values)
+        first = np.flatnonzero(values[:count, _SUMS.index("starts")])
+        limit = np.searchsorted(window, window[first], "right")
+        stops = np.append(np.flatnonzero(values[:, _SUMS.index("stop")]), size)
+        limit = np.minimum(limit, stops[np.searchsorted(stops, first)])
+        first, limit = np.repeat(first, LONGEST), np.repeat(limit, LONGEST)
+        last = first + np.tile(np.arange(1, LONGEST + 1), len(first) // LONGEST)
+        kept = last <= limit
+        first, last = first[kept], last[kept]
+        hints = sums[:, _SUMS.index("hint")]
+        kept = (ends[last - 1] - starts[first] <= WIDEST) & (hints[last] > hints[first])
+        kept &= values[last - 1, _SUMS.index("ends")] > 0
+        return first[kept], last[kept]
+
+    @staticmethod
+    def _check_digit(digits: str, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Luhn sums as differences: digits at even or at odd places are the plain ones."""
+        plain = np.frombuffer(digits.encode(), np.uint8).astype(np.int64) - 48
+        double = 2 * plain - 9 * (plain > 4)
+        odd = np.arange(len(plain)) % 2 == 1
+        even_plain, odd_plain = _before(np.where(odd, double, plain)), _before(np.where(odd, plain, double))
+        total = np.where(last % 2 == 1, even_plain[last] - even_plain[first], odd_plain[last] - odd_plain[first])
+        return (last - first >= 12) & (last - first <= 19) & (total % 10 == 0)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Segments by kinds."""
+        found = self.flags @ weights[[_NUMBER[x] for x in _FLAGS]]
+        for column in self.features.T:
+            found += weights[column]
+        return found
 
-    Segments are scored as they are reached and not kept, so memory is linear in the window.
+
+def _unit_blocks(text: str, places: list[tuple[int, int]]) -> Iterator[tuple[list[tuple[int, int, int]], int]]:
+    """Units of windows (start, end, number of the window), and how many of them begin segments here."""
+    held: list[tuple[int, int, int]] = []
+    for number, (a, b) in enumerate(places):
+        for m in _UNIT.finditer(text, a, b):
+            held.append((*m.span(), number))
+            if len(held) == UNITS + LONGEST:
+                yield held, UNITS
+                held = held[UNITS:]
+    if held:
+        yield held, len(held)
+
+
+def decoded(text: str, places: list[tuple[int, int]], weights: np.ndarray) -> list[Span]:
+    """The choice of segments and kinds of the highest score in some windows.
+
+    A unit outside scores nothing, so only segments that score above zero can be chosen.
     """
-    cut = [(a + start, b + start) for a, b in units(text[start:end])]
-    size = len(cut)
-    total = [0.0] + [-np.inf] * size
-    chosen: list[tuple[int, int]] = [(-1, -1)] * (size + 1)
-    for i in range(size):
-        if total[i] >= total[i + 1]:
-            total[i + 1], chosen[i + 1] = total[i], (i, -1)
-        for j in segments_from(text, cut, i):
-            scores = weights[features(text, cut[i][0], cut[j - 1][1])].sum(0)
-            kind = int(scores.argmax())
-            if total[i] + scores[kind] > total[j]:
-                total[j], chosen[j] = total[i] + float(scores[kind]), (i, kind)
-    spans, j = [], size
-    while j > 0:
-        i, kind = chosen[j]
-        if kind >= 0:
-            spans.append((cut[i][0], kind, cut[j - 1][1]))
-        j = i
+    found: list[tuple[int, int, int, float]] = []
+    for bounds, count in _unit_blocks(text, places):
+        segments = Segments(text, bounds, count)
+        scores = segments.scores(weights)
+        kinds = scores.argmax(1)
+        best = scores[np.arange(len(kinds)), kinds]
+        for at in np.flatnonzero(best > 0).tolist():
+            start, end = bounds[segments.first[at]][0], bounds[segments.last[at] - 1][1]
+            found.append((end, start, int(kinds[at]), float(best[at])))
+    found.sort()
+    ends = [x[0] for x in found]
+    total, chosen = [0.0], []
+    for number, (_, start, _, score) in enumerate(found):
+        # Segments that end before this one starts; none of a later number does.
+        before = bisect_right(ends, start, 0, number)
+        taken = total[before] + score > total[-1]
+        chosen.append(before if taken else -1)
+        total.append(total[before] + score if taken else total[-1])
+    spans, number = [], len(found)
+    while number > 0:
+        before = chosen[number - 1]
+        if before >= 0:
+            end, start, kind, _ = found[number - 1]
+            spans.append((start, kind, end))
+        number = before if before >= 0 else number - 1
     return spans[::-1]
 
 
@@ -376,11 +548,10 @@ def all_spans(text: str, weights: np.ndarray | None) -> tuple[list[Span], list[S
             taken.append([start, end])
     ends = [end for _, end in taken]
     added = []
-    for a, b in windows(text):
-        for span in decoded(text, a, b, weights):
-            at = bisect_right(ends, span[0])
-            if at == len(taken) or taken[at][0] >= span[2]:
-                added.append(span)
+    for span in decoded(text, windows(text), weights):
+        at = bisect_right(ends, span[0])
+        if at == len(taken) or taken[at][0] >= span[2]:
+            added.append(span)
     return base, added
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -406,6 +407,90 @@ def test_redaction_keeps_columns_and_nulls(spark):
     assert not any(pii.base_spans(t or "") for t in texts)
 
 
+def odd_window(state):
+    return "".join(state.choices("+.()- @_%/12345ab\n\t\u00b2\u0663\u00e9,", k=state.randint(1, 90)))
+
+
+def test_segments_in_arrays_have_the_features_of_one_segment():
+    state = random.Random(3)
+    for _ in range(300):
+        text = odd_window(state)
+        for a, b in pii.windows(text):
+            cut = [(x + a, y + a) for x, y in pii.units(text[a:b])]
+            wanted = {
+                (i, j): sorted(pii.features(text, cut[i][0], cut[j - 1][1]))
+                for i in range(len(cut))
+                for j in pii.segments_from(text, cut, i)
+            }
+            own = pii.Segments(text, [(*x, 0) for x in cut], len(cut))
+            found = {
+                (i, j): sorted([*numbers, *(pii._NUMBER[name] for name, holds in zip(pii._FLAGS, flags, strict=True) if holds)])
+                for i, j, numbers, flags in zip(
+                    own.first.tolist(), own.last.tolist(), own.features.tolist(), own.flags.tolist(), strict=True
+                )
+            }
+            assert found == wanted
+
+
+def test_decoding_against_all_segmentations(monkeypatch):
+    """The best of all choices of segments and kinds, found by trying each; blocks of units lose none."""
+    state = random.Random(4)
+    monkeypatch.setattr(pii, "UNITS", 3)
+    for round_ in range(60):
+        weights = np.random.default_rng(round_).normal(0, 1, (len(pii._NAMES), len(pii.KINDS)))
+        text = "".join(state.choices("1a@.+ -", k=8))
+        segments = [
+            (cut[i][0], cut[j - 1][1])
+            for a, b in pii.windows(text)
+            for cut in [[(x + a, y + a) for x, y in pii.units(text[a:b])]]
+            for i in range(len(cut))
+            for j in pii.segments_from(text, cut, i)
+        ]
+        scores = {x: weights[pii.features(text, *x)].sum(0) for x in segments}
+
+        def best(free, scores=scores):
+            later = [(x, scores[x].max()) for x in scores if x[0] >= free]
+            return max([0.0, *(score + best(x[1]) for x, score in later)])
+
+        spans = pii.decoded(text, pii.windows(text), weights)
+        assert all(x[2] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+        assert math.isclose(sum(scores[a, b][kind] for a, kind, b in spans), best(0), abs_tol=1e-9)
+
+
+def test_gradient_of_the_field_against_differences():
+    window = pii.Window("a@b.co 12")
+    gold = window.gold([(0, 0, 6)])
+    weights = np.random.default_rng(5).normal(0, 0.3, (len(pii._NAMES), len(pii.KINDS)))
+
+    def likelihood(weights):
+        scores = window.scores(weights)
+        by_end = [[0.0]]
+        for j in range(1, len(window.bounds) + 1):
+            ways = [np.logaddexp.reduce(by_end[j - 1])]
+            ways += [np.logaddexp.reduce(by_end[i]) + x for at, (i, e) in enumerate(window.segments) if e == j for x in scores[at]]
+            by_end.append(ways)
+        own = sum(scores[window.segments.index(x), kind] for x, kind in gold.items())
+        return own - np.logaddexp.reduce(by_end[-1])
+
+    slope = np.zeros_like(weights)
+    for segment, change in window.gradient(weights, gold).items():
+        np.add.at(slope, window.features[segment], change)
+    for name in ("always", "at", "letters", "after_blank"):
+        for kind in range(len(pii.KINDS)):
+            step = np.zeros_like(weights)
+            step[pii._NUMBER[name], kind] = 1e-5
+            wanted = (likelihood(weights + step) - likelihood(weights - step)) / 2e-5
+            assert math.isclose(slope[pii._NUMBER[name], kind], wanted, abs_tol=2e-3)
+
+
+def test_a_long_unbroken_text_keeps_its_spans():
+    text = "1a" * 60_000 + "x@example.org" + "0f" * 20_000
+    weights = np.zeros((len(pii._NAMES), len(pii.KINDS)))
+    weights[pii._NUMBER["always"]] = -1
+    base, added = pii.all_spans(text, weights)
+    assert base == pii.base_spans(text) and len(base) == 1 and added == []
+
+
 def brute_secrets(text):
     keys = "password|passwd|secret|token|api_?key"
     either = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in keys)
