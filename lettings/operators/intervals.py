@@ -115,16 +115,21 @@ def first_fitting(
     that tile the days up to its own start. Inside a block the smallest candidate with a late
     enough end is a running minimum over end days. Work is (gaps + requests) x log(days), and a
     block holds one row per end day, so a group with most of the data is still many small tasks.
-    ``horizon`` may name a cheaper frame whose ``day_from`` range covers that of the requests.
+    Gaps that end too early for any request, or hold fewer days than the shortest, are left out first.
+    ``horizon`` may name a cheaper frame whose rows include the days of all requests.
     """
     wanted = requests.select(group, "day_from", "day_to").distinct()
-    span = (wanted if horizon is None else horizon).agg(F.min("day_from").alias("low"), F.max("day_from").alias("high"))
-    low, high = span.select("low").scalar(), span.select("high").scalar()
+    span = (wanted if horizon is None else horizon).agg(
+        F.min("day_from").alias("low"),
+        F.max("day_from").alias("high"),
+        F.min(F.col("day_to") - F.col("day_from")).alias("shortest"),
+    )
+    low, high, shortest = (span.select(name).scalar() for name in ("low", "high", "shortest"))
     reduced = (
         gaps.groupBy(group, "gap_from", "gap_to")
         .agg(F.min(candidate).alias("_candidate"))
-        .withColumns({"_low": low, "_high": high})
-        .filter("gap_from <= _high")
+        .withColumns({"_low": low, "_high": high, "_shortest": shortest})
+        .filter("gap_from <= _high and gap_to - greatest(gap_from, _low) >= _shortest")
         .withColumn("_slot", F.expr("greatest(gap_from, _low) - _low"))
         .withColumn("_levels", F.expr("length(bin(_high - _low + 1))"))
     )

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettings import session
 from lettings.functions.dates import add_months_sticky
 from lettings.operators.intervals import (
     conflict_counts,
@@ -20,7 +21,6 @@ from lettings.operators.intervals import (
     granted_chain,
 )
 from lettings.operators.ranking import SMALL, earlier_total, position
-from lettings.session import shared_folder
 
 MONEY = "decimal(12,2)"
 
@@ -296,21 +296,20 @@ def free_house_assignment(
     free and for the first free one of its space otherwise, and each house serves those that ask by
     start and then id. Whoever overlaps a granted request asks again in the next wave, when that house
     is taken; so waves are bounded by the houses of a space, however many requests fight for one.
-    A wave looks at the spaces with open requests only. Waves are cut by checkpoints in the shared folder.
+    A wave looks at the spaces with open requests only. What a wave hands on is written to the shared folder.
     """
-    shared_folder(requests.sparkSession)
     homes = houses.select("house_id", "space_id")
     booked = _closed(stored, as_of).select("house_id", "start_date", "end_date")
-    waiting = requests.select("agreement_id", "house_id", "start_date", "end_date")
+    waiting = session.stored(requests.select("agreement_id", "house_id", "start_date", "end_date"), "requests")
     settled: list[DataFrame] = []
     while True:
         # Only spaces that still have open requests matter, and they become fewer.
         spaces = waiting.select("house_id").distinct().join(homes, "house_id").select("space_id").distinct()
-        homes = homes.join(spaces, "space_id", "left_semi").select("house_id", "space_id")
-        if settled:
-            homes = homes.checkpoint()
-            booked = booked.join(homes.select("house_id"), "house_id", "left_semi").checkpoint()
-        judged = _wave(waiting, booked, homes).checkpoint()
+        homes = session.stored(
+            homes.join(spaces, "space_id", "left_semi").select("house_id", "space_id"), "homes"
+        )
+        booked = session.stored(booked.join(homes.select("house_id"), "house_id", "left_semi"), "booked")
+        judged = session.stored(_wave(waiting, booked, homes), "judged")
         settled.append(judged.filter("placement is not null"))
         again = judged.filter("placement is null")
         if again.isEmpty():
@@ -324,7 +323,7 @@ def free_house_assignment(
 
 def _wave(waiting: DataFrame, booked: DataFrame, houses: DataFrame) -> DataFrame:
     """One wave of requests; ``placement`` is NULL for those that have to ask again."""
-    counted = conflict_counts(waiting, booked, "house_id").checkpoint()
+    counted = session.stored(conflict_counts(waiting, booked, "house_id"), "counted")
     space = houses.select("house_id", "space_id")
     days = {"day_from": F.unix_date("start_date"), "day_to": F.unix_date("end_date")}
     blocked = counted.filter("conflicts > 0").join(space, "house_id").withColumns(days)
@@ -334,12 +333,12 @@ def _wave(waiting: DataFrame, booked: DataFrame, houses: DataFrame) -> DataFrame
         gaps.withColumnRenamed("house_id", "_free"),
         "space_id",
         "_free",
-        horizon=counted.select(days["day_from"].alias("day_from")),
+        horizon=counted.select(*[day.alias(name) for name, day in days.items()]),
     )
     columns = waiting.columns
     moved = blocked.join(found, ["space_id", "day_from", "day_to"], "left").select(*columns, "_free")
     kept = counted.filter("conflicts = 0").select(*columns, F.col("house_id").alias("_free"))
-    asked = moved.unionByName(kept).checkpoint()
+    asked = session.stored(moved.unionByName(kept), "asked")
     wanted = asked.filter(F.col("_free").isNotNull()).select(
         F.col("_free").alias("_house"), "agreement_id", "start_date", "end_date"
     )

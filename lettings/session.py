@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lettings.model import PipelineError
 
@@ -63,6 +64,19 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it back: lineage ends there.
+
+    The folder goes when the application ends, if nobody has removed it before.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 Result = TypeVar("Result")
 
 
