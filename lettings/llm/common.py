@@ -38,10 +38,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back: lineage ends there."""
+    """Write a frame once to the shared folder and read it back: lineage ends there.
+
+    Results read these folders whenever they are asked for, so they go when the application ends.
+    """
     spark = frame.sparkSession
     path = work_folder(spark, name)
     frame.write.option("compression", "zstd").parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(frame.schema).parquet(path)
 
 

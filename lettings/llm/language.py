@@ -3,8 +3,11 @@
 A text is lower-cased, everything but letters becomes a blank, and the two to four byte strings
 that do not run over a blank are its subwords. Their embeddings, found by hash, are averaged over
 the whole text and a linear softmax gives the languages. Both are trained by stochastic gradient
-descent in numpy on a bounded sample (about ``PER_LANGUAGE`` rows of each language, chosen by hash
-among those that are not held out). Every language with such a row is learnt, however many there are. A temperature fitted on a fifth of each language's rows that is left out of the descent (none of
+descent in numpy on a bounded sample: about ``PER_LANGUAGE`` rows of each language, and of all
+languages together about ``SAMPLE_ROWS``, chosen by hash among those that are not held out. Every language
+with such a row is learnt, however many there are. Of a learnt text's subwords, counted over the whole
+text, the ``SUBWORDS`` most frequent kinds take part (of equally frequent ones those of lower number), so the driver holds
+``SAMPLE_ROWS * SUBWORDS`` pairs of eight bytes at most (where there are over 800 languages, ``LEAST_STEPS`` rows of each). A temperature fitted on a fifth of each language's rows that is left out of the descent (none of
 less than five) calibrates the scores, and the score that all but ``REJECTED`` of the right answers there exceed is the bound
 below which a text is marked as rejected.
 
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from lettings.llm import common
 
 PER_LANGUAGE = 350
+#: Rows of the sample in all languages together, and kinds of subwords of each of them.
+SAMPLE_ROWS, SUBWORDS = 20_000, 4096
 BITS = 15
 LENGTHS = (2, 3, 4)
 DIMENSIONS = 12
@@ -76,6 +81,21 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+def shares_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent kinds of subwords of a whole text, in order, and their shares of it."""
+    buckets, counts = np.unique(subwords([text])[0], return_counts=True)
+    shares = counts / max(counts.sum(), 1)
+    if len(buckets) > SUBWORDS:
+        often = np.sort(np.argsort(-counts, kind="stable")[:SUBWORDS])
+        buckets, shares = buckets[often], shares[often]
+    return buckets, shares
+
+
+def rows_of_each(languages: int) -> int:
+    """Sampled rows of a language when there are so many languages; enough that none is missed."""
+    return max(LEAST_STEPS, min(PER_LANGUAGE, SAMPLE_ROWS // max(languages, 1)))
+
+
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -180,33 +200,37 @@ def fit(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.col(language).alias("language")
     ).filter(F.col("key").isNotNull() & F.col("language").isNotNull() & F.col("text").isNotNull())
     known = known.filter(~common.held_out(F.col("key")))
-    counts = known.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
-    # Languages of few rows are taken whole; each frequent one has a share of its own.
-    counts = counts.filter(F.col("n") > PER_LANGUAGE).collect()
+    # One row a language. Those of few rows are taken whole; each frequent one has a share of its own.
+    counts = known.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect()
+    each = rows_of_each(len(counts))
     chosen = F.lit(True)
-    if counts:
-        pairs = [(F.lit(x["language"]), F.lit(common.share_of(x["n"], PER_LANGUAGE))) for x in counts]
+    frequent = [x for x in counts if x["n"] > each]
+    if frequent:
+        pairs = [(F.lit(x["language"]), F.lit(common.share_of(x["n"], each))) for x in frequent]
         own = F.create_map(*[x for pair in pairs for x in pair])[F.col("language")]
         chosen = common.in_sample(F.col("key"), F.coalesce(own, F.lit(1.0)), "language")
 
-    def shares(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = []
             for name, whole in zip(
                 part.column("language").to_pylist(), part.column("text").to_pylist(), strict=True
             ):
-                buckets, counts = np.unique(subwords([whole])[0], return_counts=True)
+                buckets, shares = shares_of(whole)
                 if len(buckets) and has_letter(whole):
-                    found.append((name, buckets.tolist(), (counts / counts.sum()).tolist()))
+                    found.append((name, buckets.tolist(), shares.tolist()))
             if found:
                 kinds = [pa.string(), pa.list_(pa.int32()), pa.list_(pa.float32())]
                 columns = [pa.array(x, k) for x, k in zip(zip(*found, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["language", "buckets", "shares"])
 
     sample = known.filter(chosen).select("language", "text").mapInArrow(
-        shares, "language string, buckets array<int>, shares array<float>"
+        measure, "language string, buckets array<int>, shares array<float>"
     )
-    rows = [(x["language"], np.array(x["buckets"]), np.array(x["shares"])) for x in sample.toLocalIterator()]
+    rows = [
+        (x["language"], np.array(x["buckets"], np.int32), np.array(x["shares"], np.float32))
+        for x in sample.toLocalIterator()
+    ]
     rows.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
     languages = sorted({x[0] for x in rows})
     return train(rows, languages) if rows else None

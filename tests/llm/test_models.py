@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lettings.llm import catalog, common, contamination, language, pii, quality, simhash, vectors
@@ -56,6 +57,44 @@ def test_pooling_is_isotonic_and_keeps_the_mean():
     assert np.allclose(values, [1 / 3, 1 / 3, 0.8, 0.8])
 
 
+def isotone(values, weights):
+    """The monotone fit by its formula: the greatest of the means before, the least of those after."""
+    def mean(a, b):
+        return sum(v * w for v, w in zip(values[a:b], weights[a:b], strict=True)) / sum(weights[a:b])
+
+    many = len(values)
+    return [max(min(mean(a, b) for b in range(i + 1, many + 1)) for a in range(i + 1)) for i in range(many)]
+
+
+def test_quality_equals_an_exact_ridge_fit_and_its_isotonic_steps(spark):
+    documents = common.table(spark, FOLDER, "documents")
+    labels = common.table(spark, FOLDER, "labels")
+    stats = quality.measured(documents)
+    model = quality.fit(stats, labels)
+    part = F.pmod(F.xxhash64("key", F.lit("part")), F.lit(10)).alias("part")
+    rows = stats.join(labels.select(F.col("doc_id").alias("key"), "quality"), "key")
+    rows = [r for r in rows.select("key", "stats", "quality", part).collect() if not common.is_held_out(r.key)]
+    table = np.array([r.stats for r in rows])
+    y = np.array([r.quality for r in rows], float)
+    fitted = np.array([r.part < 8 for r in rows])
+    assert np.allclose(model.mean, table.mean(0)) and np.allclose(model.scale, np.maximum(table.std(0), 1e-9))
+    waves = quality.spread(table, model.mean, model.scale)
+    # Ridge as least squares with one more row a weight, without normal equations.
+    width = waves.shape[1]
+    penalty = np.sqrt(np.r_[np.full(width - 1, max(0.02, 2e-5 * fitted.sum())), 1e-9])
+    whole = np.vstack([waves[fitted], np.diag(penalty)])
+    exact = np.linalg.lstsq(whole, np.r_[y[fitted], np.zeros(width)], rcond=None)[0]
+    assert np.allclose(waves @ model.weights, waves @ exact, atol=1e-5)
+    raw = waves[~fitted] @ model.weights
+    steps = np.floor(np.clip(raw, quality.LOWEST, quality.HIGHEST) / quality.STEP).astype(int)
+    kinds = sorted(set(steps.tolist()))
+    weights = [int((steps == k).sum()) for k in kinds]
+    means = [float(y[~fitted][steps == k].mean()) for k in kinds]
+    total = sum(weights)
+    wanted = [(v * total + 0.5) / (total + 1) for v in isotone(means, weights)]
+    assert np.allclose(model.values, wanted) and np.allclose(model.edges, (np.array(kinds) + 0.5) * quality.STEP)
+
+
 def test_languages_of_held_out_rows(spark):
     documents = common.table(spark, FOLDER, "documents")
     found = catalog.language_query(spark, FOLDER)
@@ -89,6 +128,62 @@ def invented(names, rows):
     return found
 
 
+def test_descent_equals_a_plain_softmax_step_by_step(monkeypatch):
+    """The draws are those of ``train``; every step is written out number by number."""
+    monkeypatch.setattr(language, "EPOCHS", 2)
+    monkeypatch.setattr(language, "LEAST_STEPS", 1)
+    monkeypatch.setattr(language, "_BUCKETS", 40)
+    maker = np.random.default_rng(8)
+    rows = []
+    for name in ("a", "b", "c"):
+        for _ in range(4):  # fewer than five rows a language: all are learnt
+            buckets = np.sort(maker.choice(40, 6, replace=False))
+            rows.append((name, buckets, maker.dirichlet(np.ones(6))))
+    found = language.train(rows, ["a", "b", "c"])
+    random = np.random.default_rng(3)
+    order = random.permutation(12).tolist()
+    size = language.DIMENSIONS
+    e = random.normal(0, 0.1, (40, size)).tolist()
+    w = random.normal(0, 0.1, (size, 3)).tolist()
+    bias = [0.0] * 3
+    step = 0
+    for _ in range(2):
+        for at in random.permutation(12).tolist():
+            name, buckets, shares = rows[order[at]]
+            pairs = list(zip(buckets.tolist(), shares.tolist(), strict=True))
+            rate = language.RATE * (1 - step / 24)
+            step += 1
+            mean = [sum(share * e[b][d] for b, share in pairs) for d in range(size)]
+            powers = [math.exp(sum(mean[d] * w[d][c] for d in range(size)) + bias[c]) for c in range(3)]
+            error = [p / sum(powers) - (c == "abc".index(name)) for c, p in enumerate(powers)]
+            back = [sum(w[d][c] * error[c] for c in range(3)) for d in range(size)]
+            for c in range(3):
+                bias[c] -= 0.1 * rate * error[c]
+                for d in range(size):
+                    w[d][c] -= rate * mean[d] * error[c]
+            for b, share in pairs:
+                for d in range(size):
+                    e[b][d] -= rate * 20 * share * back[d]
+    assert np.allclose(found.table, np.array(e) @ np.array(w), atol=1e-5)
+    assert np.allclose(found.bias, bias)
+
+
+def test_the_sample_is_bounded_over_all_languages_and_subwords(monkeypatch):
+    assert language.rows_of_each(0) == language.rows_of_each(4) == language.PER_LANGUAGE
+    assert language.rows_of_each(200) * 200 <= language.SAMPLE_ROWS
+    assert language.rows_of_each(10**6) == language.LEAST_STEPS
+    text = "aaab aaab aaab zq zq xy"
+    buckets, shares = language.shares_of(text)
+    counts = Counter(language.subwords([text])[0].tolist())
+    assert dict(zip(buckets.tolist(), shares.tolist(), strict=True)) == {b: n / counts.total() for b, n in counts.items()}
+    monkeypatch.setattr(language, "SUBWORDS", 5)
+    most = sorted(counts, key=lambda b: (-counts[b], b))[:5]
+    kept, own = language.shares_of(text)
+    assert kept.tolist() == sorted(most)
+    assert np.allclose(own, [counts[b] / counts.total() for b in sorted(most)])
+    assert len(language.shares_of("")[0]) == 0
+
+
 def test_more_languages_than_sixty_four(spark):
     given = invented([f"l{i:02}" for i in range(80)], 20)
     # One language has more rows than are sampled.

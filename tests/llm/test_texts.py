@@ -525,6 +525,60 @@ def test_secrets_against_brute_force_and_random_strings(spark):
     assert secret_scan.digest(empty(spark)).count() == 0
 
 
+def exact_chi_squared_tail(x, odd):
+    """Chance that chi-squared with an odd number of degrees of freedom exceeds ``x``."""
+    term, total = 1.0, 0.0
+    for i in range(1, (odd - 1) // 2 + 1):
+        total += term
+        term *= x / (2 * i + 1)
+    return math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * total
+
+
+def battery(text):
+    """The three tests with exact tails."""
+    bare = text.rstrip("=")
+    alphabet = next(letters for shape, letters in secret_scan.ENCODINGS if re.search(shape, bare))
+    places = np.array([alphabet.find(c) + 1 for c in bare])
+    n, k = len(bare), len(alphabet)
+    chi = sum(bare.count(c) ** 2 for c in alphabet) * k / n - n
+    high = places > k / 2
+    ups = int(high.sum())
+    runs = 2 * ups * (n - ups) / n + 1
+    spread = max((runs - 1) * (runs - 2) / (n - 1), 0.25)
+    off = places - places.mean()
+    serial = (off[1:] * off[:-1]).sum() / (off * off).sum() if off.any() else None
+    z2 = abs(1 + int((high[1:] != high[:-1]).sum()) - runs) / math.sqrt(spread)
+    z3 = 40 if serial is None else abs(serial + 1 / n) * math.sqrt(n)
+    tails = exact_chi_squared_tail(max(chi, 0), k - 1), math.erfc(z2 / math.sqrt(2)), math.erfc(z3 / math.sqrt(2))
+    return min(1.0, 3 * min(tails))
+
+
+def test_battery_against_exact_tails(spark):
+    maker = random.Random(21)
+    texts = ["abc" * 9, "0" * 25, "thequickbrownfoxjumpsoverthelazydog", "/usr/local/share/applications/x"]
+    for _, letters in secret_scan.ENCODINGS:
+        for size in (20, 33, 64, 200):
+            texts.append("".join(maker.choice(letters) for _ in range(size)))
+            texts.append("".join(maker.choice(letters[: len(letters) // 2]) for _ in range(size)) + "==")
+    given = spark.createDataFrame([(x,) for x in texts], "m string")
+    found = {r.m: r.p for r in secret_scan.with_p_value(given).select("m", "p").collect()}
+    assert all(abs(found[x] - battery(x)) < 0.015 for x in texts)
+
+
+def test_bounds_follow_benjamini_and_hochberg(spark):
+    maker = random.Random(22)
+    rows = [(c, maker.random() ** (1 + 6 * c)) for c in (0, 1, 2) for _ in range(300)] + [(3, 0.9), (3, 0.0)]
+    given = spark.createDataFrame(rows, "class int, p double")
+    found = {r["class"]: r.bound for r in secret_scan.bounds(given).collect()}
+    for kind in range(4):
+        # A value stands as the upper end of its eighth of a power of ten.
+        steps = [min(math.floor(-math.log10(max(p, 1e-30)) * 8), 160) for c, p in rows if c == kind]
+        uppers = sorted(10 ** (-s / 8) for s in steps)
+        passed = [u for rank, u in enumerate(uppers, 1) if u * len(uppers) <= secret_scan.LEVEL * rank]
+        assert (found[kind] is None) == (not passed)
+        assert not passed or math.isclose(found[kind], max(passed))
+
+
 def test_secret_scan_runs_no_python(spark):
     documents, _ = frame(spark, ODD)
     plan = secret_scan.digest(documents)._jdf.queryExecution().toString()
