@@ -866,6 +866,18 @@ UNION ALL SELECT {_P.replace('property_id, ', 's.property_id, ', 1)}, 'batch-000
         "FROM fact_payment JOIN dim_location USING (location_key) GROUP BY 1"
     ),
     "measure_expiring": _star("SELECT city, count(*) AS expiring_agreements FROM mart_expiring GROUP BY 1"),
+    "measure_overdue_rate_by_due_date": _star(
+        "SELECT due_date, CAST(count(*) FILTER (is_overdue) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS overdue_rate "
+        "FROM fact_payment JOIN dim_location USING (location_key) GROUP BY 1"
+    ),
+    "measure_overdue_rate_total": _star(
+        "SELECT CAST(count(*) FILTER (is_overdue) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS overdue_rate "
+        "FROM fact_payment JOIN dim_location USING (location_key)"
+    ),
+    "measure_expiring_by_end_date": _star(
+        "SELECT end_date, count(*) AS expiring_agreements FROM mart_expiring GROUP BY 1"
+    ),
+    "measure_expiring_total": _star("SELECT count(*) AS expiring_agreements FROM mart_expiring"),
     "measure_occupancy_rate_total": _star(
         f"SELECT {_RATE.format('occupied_property_days', 'available_property_days')} AS occupancy_rate FROM mart_occupancy"
     ),

@@ -583,6 +583,10 @@ QUERIES: dict[str, Query] = {
     "measure_rent_per_sqm": _measure("rent_per_sqm", marts.mart_average_rent_per_sqm, "region"),
     "measure_overdue_rate": _measure("overdue_rate", marts.payments_extract, "city"),
     "measure_expiring": _measure("expiring_agreements", _expiring, "city"),
+    "measure_overdue_rate_by_due_date": _measure("overdue_rate", marts.payments_extract, "due_date"),
+    "measure_overdue_rate_total": _measure("overdue_rate", marts.payments_extract),
+    "measure_expiring_by_end_date": _measure("expiring_agreements", _expiring, "end_date"),
+    "measure_expiring_total": _measure("expiring_agreements", _expiring),
     "measure_occupancy_rate_total": _measure("occupancy_rate", marts.mart_occupancy),
     "measure_revenue_by_month": _measure("rental_revenue", marts.mart_monthly_rental_revenue, "revenue_month"),
     "measure_rent_per_sqm_total": _measure("rent_per_sqm", marts.mart_average_rent_per_sqm),
