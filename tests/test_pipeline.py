@@ -166,7 +166,8 @@ def test_rows_are_numbered_in_file_order_over_many_splits(spark, tmp_path):
             assert [row[key] for row in rows] == [record[key] for record in data[name]]
         assert spark.read.parquet(f"{tmp_path}/bronze/splits/payments").count() > 8
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_fingerprint_ignores_metadata(spark, tmp_path):
@@ -210,7 +211,8 @@ def test_line_breaks_in_quotes_are_read_by_many_tasks(spark, tmp_path):
         landed = bronze.ingest(spark, folder, f"{tmp_path}/bronze", "b")["tenants"].orderBy("source_row").collect()
         splits = spark.read.parquet(f"{tmp_path}/bronze/splits/tenants").count()
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     one = bronze.read_extract(spark, f"{folder}/tenants.csv", "tenants", multiline=True)
     want = [r.asDict() for r in one.orderBy("source_row").collect()]
@@ -369,3 +371,27 @@ def test_rules_run_once_and_row_numbers_are_looked_up_for_rejects_only(spark, tm
     assert plan_of(quality.summarise(counts)).count("Relation [") == 2 * len(ENTITIES)
     rejected = {(r.record_type, r.source_row) for r in quality.all_rejected(parts).collect()}
     assert ("payments", 13) in rejected and ("tenants", 5) in rejected and len(rejected) == 8
+
+
+def test_row_numbers_leave_a_file_to_many_tasks(spark, tmp_path):
+    """One file of many row groups: numbering must not bring all its records to one task."""
+    path = f"{tmp_path}/one.parquet"
+    spark.range(20000).selectExpr("id", "md5(string(id)) as text").coalesce(1).write.option(
+        "parquet.block.size", 65536
+    ).option("parquet.page.size", 8192).parquet(path)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "128k",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "1k",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        numbered = bronze.numbered_parquet(spark, path)
+        tasks = numbered.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) > 1
+        assert numbered.filter("source_row <> id + 1").isEmpty()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
