@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lettings.functions.dates import add_months_sticky
 from lettings.operators import checks, history, intervals, measures, ranking, upsert
-from lettings.plans import adjustments
+from lettings.plans import adjustments, star
 
 DAY0 = date(2024, 1, 1)
 
@@ -259,3 +259,27 @@ def test_agents_receive_from_colleagues_of_their_firm(spark, firm_size):
     moved = {r.agreement_id: r.agent_no for r in found.filter("action is not null").collect()}
     assert moved == ({1: 1, 2: 2} if firm_size == 3 else {})
     assert found.count() == len(rows)
+
+
+def test_occupancy_groups_days_where_they_are_made(spark):
+    """Grouping the day fact by agreement must not shuffle its days, however many there are."""
+    state = {
+        "locations": spark.sql("select 'L' location_id, 'c' city, 'r' region, 'PL' country_code"),
+        "owners": spark.sql("select 'O' owner_id, 'o' full_name, 'o@x' email"),
+        "tenants": spark.sql("select 'T' tenant_id, 't' full_name, 't@x' email"),
+        "properties": spark.sql(
+            """select 'P' property_id, 'L' location_id, 'O' owner_id, 'house' property_type, 1 bedrooms,
+            1.0 size_sqm, 1.0 monthly_rent, 'PLN' currency"""
+        ),
+        "rental_agreements": spark.sql(
+            """select 'A' || id agreement_id, 'P' property_id, 'T' tenant_id, date'2024-01-01' start_date,
+            date_add(date'2024-01-01', int(id)) end_date, 1.0 monthly_rent, 'ACTIVE' status from range(30)"""
+        ),
+    }
+    assert star.day_partitions(state) == 1
+    counted = star.fact_occupancy(state, 3).groupBy("rental_agreement_key", "property_key").agg(
+        F.countDistinct("occupancy_key").alias("days")
+    )
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "occupancy_key" in line]
+    assert [row.days for row in counted.orderBy("days").collect()] == list(range(1, 31))
