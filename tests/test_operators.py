@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import random
+import threading
+import time
 from datetime import date, datetime, timedelta
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from lettings import session
 from lettings.functions.dates import add_months_sticky
 from lettings.operators import checks, history, intervals, measures, ranking, upsert
 from lettings.plans import adjustments, star
@@ -283,3 +287,28 @@ def test_occupancy_groups_days_where_they_are_made(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "Exchange" in line and "occupancy_key" in line]
     assert [row.days for row in counted.orderBy("days").collect()] == list(range(1, 31))
+
+
+def test_loosened_reads_its_table_once(spark, tmp_path):
+    """One branch per kind of broken row would compute a model four times, with all its broadcasts."""
+    spark.range(50).selectExpr("string(id) as k", "id as n").write.parquet(f"{tmp_path}/t")
+    loose = checks.loosened(spark.read.parquet(f"{tmp_path}/t"), "k")
+    plan = loose._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_together_bounds_how_many_run(spark):
+    lock, running, seen = threading.Lock(), set(), []
+
+    def work(name):
+        with lock:
+            running.add(name)
+            seen.append(len(running))
+        time.sleep(0.05)
+        with lock:
+            running.discard(name)
+        return name
+
+    names = [str(n) for n in range(8)]
+    found = session.together(spark, {n: partial(work, n) for n in names}, 2)
+    assert found == {n: n for n in names} and max(seen) <= 2
