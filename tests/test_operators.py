@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lettings import session
 from lettings.functions.dates import add_months_sticky
-from lettings.operators import checks, history, intervals, measures, ranking, upsert
+from lettings.model import ENTITIES
+from lettings.operators import checks, history, intervals, measures, quality, ranking, upsert
 from lettings.plans import adjustments, star
 
 DAY0 = date(2024, 1, 1)
@@ -312,3 +313,29 @@ def test_together_bounds_how_many_run(spark):
     names = [str(n) for n in range(8)]
     found = session.together(spark, {n: partial(work, n) for n in names}, 2)
     assert found == {n: n for n in names} and max(seen) <= 2
+
+
+def test_records_with_unique_keys_are_not_shuffled_again(spark):
+    """The repeated keys are known before the records look at them; without any, nothing is shuffled."""
+    records = spark.range(100).selectExpr("string(id) as k", "struct('' as file, 0L as block, id) as source_order")
+    marked = quality.mark_repeats(records, "k")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    assert marked.filter("reason is null").count() == 100
+    twice = quality.mark_repeats(records.unionByName(records.filter("k = '7'")).drop("source_order").selectExpr(
+        "k", "struct('' as file, 0L as block, monotonically_increasing_id() as id) as source_order"
+    ), "k")
+    assert [row.k for row in twice.filter("reason is not null").collect()] == ["7"]
+
+
+def test_record_tables_are_packed_and_keep_fingerprints(spark, tmp_path):
+    raw = spark.sql(
+        """select 1L as source_row, 'L1' location_id, 'a' city, 'b' region, 'PL' country_code,
+        '2024-01-01T00:00:00Z' source_timestamp"""
+    )
+    spec = ENTITIES["locations"]
+    records = quality.write_records(spec, raw, f"{tmp_path}/records")
+    assert all(".zstd." in path for path in records.inputFiles())
+    none = spark.createDataFrame([], quality.LATE)
+    kept = quality.accepted(spec, records, none, "b", F.timestamp_seconds(F.lit(0)))
+    assert kept.join(records, "record_fingerprint").count() == 1
