@@ -111,20 +111,27 @@ def first_fitting(
     with a gap around it, as column ``candidate``; requests that fit nowhere are absent.
 
     A gap fits when it starts by ``day_from`` and ends no sooner than ``day_to``. Start days are
-    stored in dyadic blocks: a gap is listed once per level, a request looks at the few blocks
-    that tile the days up to its own start. Inside a block the smallest candidate with a late
-    enough end is a running minimum over end days. Work is (gaps + requests) x log(days), and a
-    block holds one row per end day, so a group with most of the data is still many small tasks.
+    stored in dyadic blocks: a gap is listed at most once per level, a request looks at the few blocks
+    that tile the days up to its own start; their numbers are even, so gaps are listed in even ones.
+    Inside a block the smallest candidate with a late enough end is a running minimum over end days, which
+    the requests that look there read off in passing. Work is (gaps + requests) x log(days), and a
+    block holds one gap per end day and one look per pair of days, so a group with most of the data is
+    still many tasks bounded by the calendar.
     Gaps that end too early for any request, or hold fewer days than the shortest, are left out first.
     ``horizon`` may name a cheaper frame whose rows include the days of all requests.
     """
-    wanted = requests.select(group, "day_from", "day_to").distinct()
-    span = (wanted if horizon is None else horizon).agg(
-        F.min("day_from").alias("low"),
-        F.max("day_from").alias("high"),
-        F.min(F.col("day_to") - F.col("day_from")).alias("shortest"),
+    wanted = requests.select(group, "day_from", "day_to").dropna().distinct()
+    span = (
+        (wanted if horizon is None else horizon)
+        .agg(
+            F.min("day_from").alias("low"),
+            F.max("day_from").alias("high"),
+            F.min(F.col("day_to") - F.col("day_from")).alias("shortest"),
+        )
+        .first()
     )
-    low, high, shortest = (span.select(name).scalar() for name in ("low", "high", "shortest"))
+    # Three numbers, asked for once: as subqueries each use of them would run the frame again.
+    low, high, shortest = (F.lit(span[name]).cast("int") for name in ("low", "high", "shortest"))
     reduced = (
         gaps.groupBy(group, "gap_from", "gap_to")
         .agg(F.min(candidate).alias("_candidate"))
@@ -134,39 +141,24 @@ def first_fitting(
         .withColumn("_levels", F.expr("length(bin(_high - _low + 1))"))
     )
     stored = (
-        reduced.withColumn("_level", F.explode(F.expr("sequence(0, _levels)")))
+        reduced.withColumn("_level", F.explode(F.expr("sequence(0, _levels - 1)")))
         .withColumn("_block", F.expr("shiftright(_slot, _level)"))
-        .select(group, "_level", "_block", F.col("gap_to").alias("_day"), "_candidate")
+        .filter("_block % 2 = 0")
+        .groupBy(group, "_level", "_block", F.col("gap_to").alias("day_to"))
+        .agg(F.min("_candidate").alias("_candidate"))
     )
     looked_up = (
-        wanted.withColumns({"_low": low, "_high": high})
-        .withColumn("_prefix", F.expr("day_from - _low + 1"))
+        wanted.withColumn("_prefix", F.col("day_from") - low + 1)
         .withColumn("_level", F.explode(F.expr("sequence(0, length(bin(_prefix)) - 1)")))
         .filter("shiftright(_prefix, _level) % 2 = 1")
         .withColumn("_block", F.expr("shiftright(_prefix, _level) - 1"))
         .select(group, "day_from", "day_to", "_level", "_block")
     )
-    nothing = F.lit(None).cast(gaps.schema[candidate].dataType)
-    profile = (
-        stored.unionByName(
-            looked_up.select(
-                group, "_level", "_block", F.col("day_to").alias("_day"), nothing.alias("_candidate")
-            )
-        )
-        .groupBy(group, "_level", "_block", "_day")
-        .agg(F.min("_candidate").alias("_candidate"))
-    )
-    later = Window.partitionBy(group, "_level", "_block").orderBy(F.desc("_day"))
-    best = profile.select(
-        group,
-        "_level",
-        "_block",
-        F.col("_day").alias("day_to"),
-        F.min("_candidate").over(later).alias(candidate),
-    )
+    later = Window.partitionBy(group, "_level", "_block").orderBy(F.desc("day_to"))
     return (
-        looked_up.join(best, [group, "_level", "_block", "day_to"])
+        stored.unionByName(looked_up, allowMissingColumns=True)
+        .withColumn(candidate, F.min("_candidate").over(later))
+        .filter(F.col("day_from").isNotNull() & F.col(candidate).isNotNull())
         .groupBy(group, "day_from", "day_to")
         .agg(F.min(candidate).alias(candidate))
-        .filter(F.col(candidate).isNotNull())
     )

@@ -296,7 +296,8 @@ def free_house_assignment(
     free and for the first free one of its space otherwise, and each house serves those that ask by
     start and then id. Whoever overlaps a granted request asks again in the next wave, when that house
     is taken; so waves are bounded by the houses of a space, however many requests fight for one.
-    A wave looks at the spaces with open requests only. What a wave hands on is written to the shared folder.
+    A wave looks at the spaces with open requests only, and there at bookings that do not end before
+    the first of these requests starts. What a wave hands on is written to the shared folder.
     """
     homes = houses.select("house_id", "space_id")
     booked = _closed(stored, as_of).select("house_id", "start_date", "end_date")
@@ -304,12 +305,18 @@ def free_house_assignment(
     settled: list[DataFrame] = []
     while True:
         # Only spaces that still have open requests matter, and they become fewer.
-        spaces = waiting.select("house_id").distinct().join(homes, "house_id").select("space_id").distinct()
-        homes = session.stored(
-            homes.join(spaces, "space_id", "left_semi").select("house_id", "space_id"), "homes"
+        spaces = (
+            waiting.groupBy("house_id")
+            .agg(F.min("start_date").alias("_from"))
+            .join(homes, "house_id")
+            .groupBy("space_id")
+            .agg(F.min("_from").alias("_from"))
         )
-        booked = session.stored(booked.join(homes.select("house_id"), "house_id", "left_semi"), "booked")
-        judged = session.stored(_wave(waiting, booked, homes), "judged")
+        open_homes = session.stored(homes.join(spaces, "space_id").select("house_id", "space_id", "_from"), "homes")
+        near = (booked["house_id"] == open_homes["house_id"]) & (booked["end_date"] >= open_homes["_from"])
+        homes = open_homes.select("house_id", "space_id")
+        booked = session.stored(booked.join(open_homes, near, "left_semi"), "booked")
+        judged = session.stored(_wave(waiting, booked, homes, first=not settled), "judged")
         settled.append(judged.filter("placement is not null"))
         again = judged.filter("placement is null")
         if again.isEmpty():
@@ -321,23 +328,31 @@ def free_house_assignment(
         )
 
 
-def _wave(waiting: DataFrame, booked: DataFrame, houses: DataFrame) -> DataFrame:
-    """One wave of requests; ``placement`` is NULL for those that have to ask again."""
-    counted = session.stored(conflict_counts(waiting, booked, "house_id"), "counted")
+def _wave(waiting: DataFrame, booked: DataFrame, houses: DataFrame, *, first: bool) -> DataFrame:
+    """One wave of requests; ``placement`` is NULL for those that have to ask again.
+
+    Conflicts are counted in the first wave only. Who asks again has lost the own house, to a booking or to
+    the request granted before it; a house that is not listed has no bookings to count.
+    """
     space = houses.select("house_id", "space_id")
+    if first:
+        counted = session.stored(conflict_counts(waiting, booked, "house_id"), "counted")
+        taken, untaken = counted.filter("conflicts > 0"), counted.filter("conflicts = 0")
+    else:
+        taken, untaken = waiting, waiting.join(space.select("house_id"), "house_id", "left_anti")
     days = {"day_from": F.unix_date("start_date"), "day_to": F.unix_date("end_date")}
-    blocked = counted.filter("conflicts > 0").join(space, "house_id").withColumns(days)
+    blocked = taken.join(space, "house_id").withColumns(days)
     gaps = free_gaps(space.select("house_id"), booked, "house_id").join(space, "house_id")
     found = first_fitting(
         blocked,
         gaps.withColumnRenamed("house_id", "_free"),
         "space_id",
         "_free",
-        horizon=counted.select(*[day.alias(name) for name, day in days.items()]),
+        horizon=taken.select(*[day.alias(name) for name, day in days.items()]),
     )
     columns = waiting.columns
     moved = blocked.join(found, ["space_id", "day_from", "day_to"], "left").select(*columns, "_free")
-    kept = counted.filter("conflicts = 0").select(*columns, F.col("house_id").alias("_free"))
+    kept = untaken.select(*columns, F.col("house_id").alias("_free"))
     asked = session.stored(moved.unionByName(kept), "asked")
     wanted = asked.filter(F.col("_free").isNotNull()).select(
         F.col("_free").alias("_house"), "agreement_id", "start_date", "end_date"

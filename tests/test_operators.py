@@ -339,3 +339,66 @@ def test_record_tables_are_packed_and_keep_fingerprints(spark, tmp_path):
     none = spark.createDataFrame([], quality.LATE)
     kept = quality.accepted(spec, records, none, "b", F.timestamp_seconds(F.lit(0)))
     assert kept.join(records, "record_fingerprint").count() == 1
+
+
+def test_placement_counts_conflicts_once_and_drops_past_bookings(spark, monkeypatch):
+    """Who asks again has lost the own house, and a booking that ended before all requests of its space is of no use."""
+    counted, waves = [], []
+
+    def counts(*args, **options):
+        counted.append(1)
+        return intervals.conflict_counts(*args, **options)
+
+    def wave(waiting, booked, *args, **options):
+        waves.append(booked.count())
+        return placed(waiting, booked, *args, **options)
+
+    placed = adjustments._wave
+    monkeypatch.setattr(adjustments, "conflict_counts", counts)
+    monkeypatch.setattr(adjustments, "_wave", wave)
+    houses = [(h, h // 4) for h in range(8)]
+    past = [(1000 + i, i % 8, day(i), day(i + 1)) for i in range(40)]
+    booked = [(2000, 0, day(90), day(110)), (2001, 1, day(60), day(101)), (2002, 2, day(99), day(100))]
+    asked = [(i, i % 3, day(100 + i % 7), day(104 + i % 11)) for i in range(30)]
+    ddl = "agreement_id long, house_id long, start_date date, end_date date"
+    rows = adjustments.free_house_assignment(
+        spark.createDataFrame(asked, ddl),
+        spark.createDataFrame(past + booked, ddl),
+        spark.createDataFrame(houses, "house_id long, space_id long"),
+        as_of=F.lit(day(0)),
+    ).collect()
+    assert {row.agreement_id: (row.placement, row.house_id) for row in rows} == place(asked, past + booked, houses)
+    assert len(waves) > 1 and len(counted) == 1 and waves[0] == len(booked)
+
+
+def test_requests_for_unlisted_houses_and_no_requests(spark):
+    ddl = "agreement_id long, house_id long, start_date date, end_date date"
+    houses = spark.createDataFrame([(1, 1)], "house_id long, space_id long")
+    booked = spark.createDataFrame([(9, 77, day(0), day(50)), (8, 1, day(0), day(2))], ddl)
+    asked = [(1, 77, day(1), day(9)), (2, 77, day(2), day(9)), (3, 77, day(2), day(5)), (4, 1, day(2), day(3))]
+    rows = adjustments.free_house_assignment(
+        spark.createDataFrame(asked, ddl), booked, houses, as_of=F.lit(day(0))
+    ).collect()
+    assert {row.agreement_id: row.placement for row in rows} == {1: "KEPT", 2: "KEPT", 3: "KEPT", 4: "REJECTED"}
+    none = adjustments.free_house_assignment(spark.createDataFrame([], ddl), booked, houses, as_of=F.lit(day(0)))
+    assert none.count() == 0
+
+
+def test_first_fitting_against_brute_force(spark):
+    rng = random.Random(11)
+    gaps = [(rng.randrange(3), rng.randrange(12), a, a + rng.randrange(60)) for a in rng.choices(range(-5, 90), k=150)]
+    asked = [(rng.randrange(4), a, a + rng.randrange(40)) for a in rng.choices(range(90), k=120)] + [(0, 5, None), (None, 1, 2)]
+    found = intervals.first_fitting(
+        spark.createDataFrame(asked, "g int, day_from int, day_to int"),
+        spark.createDataFrame([*gaps, (None, 1, 0, 9)], "g int, c int, gap_from int, gap_to int"),
+        "g",
+        "c",
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan and "Join" not in plan
+    expected = {}
+    for g, start, end in asked:
+        fits = [c for group, c, a, b in gaps if None not in (g, end) and group == g and a <= start and b >= end]
+        if fits:
+            expected[g, start, end] = min(fits)
+    assert {(r.g, r.day_from, r.day_to): r.c for r in found.collect()} == expected
