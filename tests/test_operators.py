@@ -402,3 +402,18 @@ def test_first_fitting_against_brute_force(spark):
         if fits:
             expected[g, start, end] = min(fits)
     assert {(r.g, r.day_from, r.day_to): r.c for r in found.collect()} == expected
+
+
+def test_upsert_moves_only_the_columns_that_are_used(spark):
+    ddl = "k string, wide string, n int, record_fingerprint string"
+    stored = spark.createDataFrame([("a", "x", 1, "f"), ("b", "x", 2, "g"), ("c", "x", 3, None), (None, "x", 4, "h")], ddl)
+    incoming = spark.createDataFrame([("a", "y", 5, "f"), ("b", "y", 6, "z"), ("c", "y", 7, "i"), ("d", None, 8, "j"), (None, "y", 9, "h")], ddl)
+    after = upsert.apply_upsert(incoming, stored, "k")
+    assert after.columns == stored.columns and after.dtypes == stored.dtypes
+    assert sorted(tuple(row) for row in after.collect() if row.k) == [
+        ("a", "x", 1, "f"), ("b", "y", 6, "z"), ("c", "x", 3, None), ("d", None, 8, "j")
+    ]
+    assert sorted(tuple(row)[1:] for row in after.collect() if row.k is None) == [("x", 4, "h"), ("y", 9, "h")]
+    plan = after.groupBy("n").count()._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.splitlines()[: next(i for i, line in enumerate(plan.splitlines()) if "LogicalRDD" in line)]
+    assert not [line for line in above if "wide" in line]
