@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 from datetime import UTC, datetime, timedelta
 
@@ -395,3 +396,15 @@ def test_row_numbers_leave_a_file_to_many_tasks(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_rejected_texts_become_json_after_their_join(spark):
+    """All raw texts cross the join to the late rejects; as JSON each would carry its field names."""
+    parts = quality.assess(extracts.frames(spark, extracts.rows(4, defects=True)), batch_id="b", processed_at=F.current_timestamp())
+    rejected = parts["payments"].rejected
+    lines = plan_of(rejected).splitlines()
+    joined = next(i for i, line in enumerate(lines) if "Join" in line)
+    made = [i for i, line in enumerate(lines) if "structstojson" in line.lower()]
+    assert made and max(made) < joined
+    for row in rejected.collect():
+        assert list(json.loads(row.raw_record)) == sorted(ENTITIES["payments"].raw)
