@@ -10,8 +10,9 @@ full can't be merged, for one); open bins of different groups then stay apart. N
 group. On sizes without small pieces to fill gaps the rule itself needs more sequences than best fit
 does (uniform sizes: 10,417 against 10,043).
 
-Ids of words are kept per worker in a cache of bounded size. Null and empty texts are the end id
-alone. Texts of any length are tokenised word by word. Pieces of equal size go in the order of their numbers.
+Texts are tokenised some 4 MB at a time, each different word of them once; ids are kept per worker in
+a cache of bounded size. Null and empty texts are the end id alone. Texts of any length are
+tokenised word by word. Pieces of equal size go in the order of their numbers.
 Rows without an id and repeated rows are packed like any other; an empty table gives an empty
 result. Columns other than the id and the text are not read.
 """
@@ -19,15 +20,18 @@ result. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,17 +42,24 @@ VOCABULARY = "word_bpe_49k.json"
 LENGTH = 4096
 END = 1
 GROUP = 40_000
+#: Units whose ids a worker keeps.
 CACHE = 300_000
 LONGEST_CACHED = 48
 #: Marks at the end of a word; they never join with its letters.
 MARKS = ".,;:!?|$%&*#"
+#: Words of letters that have one normal form and one small letter each, and marks.
+LATIN = rf"^(?P<core>[A-Za-z\x{{c0}}-\x{{d6}}\x{{d8}}-\x{{f6}}\x{{f8}}-\x{{ff}}]+)(?P<marks>[{MARKS}]*)$"
+#: Bytes of texts that are tokenised together, besides the longest of them.
+TOGETHER = 4_000_000
 
 
 class Words:
-    """Token ids of a text, word by word; this vocabulary never joins over blanks.
+    """Token ids of texts, word by word; this vocabulary never joins over blanks.
 
-    A new word of letters goes to the library's model at once, in the normal form and lower case
-    that the library would give it; any other word goes through the library as a whole.
+    Texts are cut into words and equal words found in whole columns. A word is one or two units: its
+    letters, in the normal form and lower case that the library would give them, and the marks after
+    them. Units of letters that are new go to the library's model at once; any other word goes
+    through the library as a whole and is a unit itself.
     """
 
     def __init__(self, path: str):
@@ -58,47 +69,83 @@ class Words:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        for cache in (self.known, self.parts):
-            if len(cache) > CACHE:
-                cache.clear()
-        split = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        known, rare = self.known, {}
-        for word in set().union(*split) - known.keys():
-            (known if len(word) <= LONGEST_CACHED else rare)[word] = self._word(word)
-        if rare:
-            known = known | rare
-        look_up = known.__getitem__
-        return [b"".join(map(look_up, x)) for x in split]
-
-    def _word(self, word: str) -> bytes:
+        self._forget()
+
+    def _forget(self) -> None:
+        """Unit 0 has no ids; the ids of unit n are ``pool[ends[n - 1]:ends[n]]``."""
+        self.units: dict[str, int] = {"": 0}
+        self.pool = array("I")
+        self.ends = array("q", [0])
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has."""
+        if len(self.units) > CACHE or len(self.pool) > 8 * CACHE:
+            self._forget()
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.values.dictionary_encode()
+        units = self._units_of(coded.dictionary)
+        pool, ends = np.array(self.pool, "<u4"), np.array(self.ends)
+        # Ids of the different words first, then of the words as they stand in the texts.
+        pool, ends = _gathered(pool, ends, units.ravel())
+        ends = np.concatenate([[0], ends[1::2]])
+        pool, ends = _gathered(pool, ends, coded.indices.to_numpy() + 1)
+        ends = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return pool, np.diff(ends)
+
+    def _units_of(self, words: pa.Array) -> np.ndarray:
+        """Two units of every word."""
+        found = pc.extract_regex(words, LATIN)
+        cores, marks = found.field("core"), found.field("marks")
+        usual = pc.fill_null(pc.less_equal(pc.utf8_length(cores), LONGEST_CACHED), False)
+        usual = pc.and_(found.is_valid(), usual)
+        at = usual.to_numpy(zero_copy_only=False)
+        units = np.zeros((len(words), 2), np.int64)
+        for column, names in enumerate((pc.utf8_lower(cores), marks)):
+            coded = names.filter(usual).dictionary_encode()
+            numbers = self._numbers(coded.dictionary, self._whole if column else self._letters)
+            units[at, column] = numbers[coded.indices.to_numpy()]
+        units[~at, 0] = self._numbers(words.filter(pc.invert(usual)), self._word)
+        return units
+
+    def _numbers(self, names: pa.Array, make: Callable[[str], list[int]]) -> np.ndarray:
+        """The units of different names; ``make`` gives the ids of new ones."""
+        names = names.to_numpy(zero_copy_only=False).tolist()
+        numbers = list(map(self.units.get, names))
+        for at in [at for at, number in enumerate(numbers) if number is None]:
+            numbers[at] = len(self.ends)
+            self.pool.extend(make(names[at]))
+            self.ends.append(len(self.pool))
+            if len(names[at]) <= LONGEST_CACHED:
+                self.units[names[at]] = numbers[at]
+        return np.array(numbers, np.int64)
+
+    def _letters(self, core: str) -> list[int]:
+        """Ids of letters in normal form and lower case."""
+        shown = core if core.isascii() else "".join([self.letters[b] for b in core.encode()])
+        return [x.id for x in self.model.tokenize(shown)]
+
+    def _word(self, word: str) -> list[int]:
         core = word.rstrip(MARKS)
         if not core.isalpha() or len(core) > LONGEST_CACHED:
             return self._whole(word)
         if not core.isascii() and ("\u03a3" in core or not unicodedata.is_normalized("NFC", core)):
             return self._whole(word)
-        parts = self.parts
         core, marks = core.lower(), word[len(core) :]
         if not core.isalpha():  # a capital whose small form is a letter and a mark
             return self._whole(word)
-        ids = parts.get(core)
-        if ids is None:
-            shown = "".join([self.letters[b] for b in core.encode()])
-            ids = b"".join([x.id.to_bytes(4, "little") for x in self.model.tokenize(shown)])
-            parts[core] = ids
-        if marks:
-            if marks not in parts:
-                parts[marks] = self._whole(marks)
-            ids += parts[marks]
-        return ids
-
-    def _whole(self, word: str) -> bytes:
-        found = self.library.encode(word, add_special_tokens=False).ids
-        return np.array(found, "<u4").tobytes()
+        return self._letters(core) + (self._whole(marks) if marks else [])
+
+    def _whole(self, word: str) -> list[int]:
+        return self.library.encode(word, add_special_tokens=False).ids
+
+
+def _gathered(pool: np.ndarray, ends: np.ndarray, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``pool[ends[n - 1]:ends[n]]`` of all numbers in a row, and the end of each; run 0 is empty."""
+    sizes = np.diff(ends, prepend=0)[taken]
+    new_ends = np.cumsum(sizes)
+    places = np.repeat(ends[taken] - new_ends, sizes)
+    places += np.arange(len(places))
+    return pool[places], new_ends
 
 
 @functools.lru_cache(maxsize=2)
@@ -106,6 +153,28 @@ def words(path: str) -> Words:
     return Words(path)
 
 
+def _together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``TOGETHER`` bytes of text at most besides their longest text; null is empty."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for part in parts:
+        whole = pc.fill_null(part.column("text"), "")
+        part = part.set_column(1, "text", whole)
+        before = np.cumsum(pc.binary_length(whole).to_numpy()) // TOGETHER
+        cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(part)]
+        for at, to in itertools.pairwise(cuts):
+            own = part.slice(at, to - at)
+            more = pc.sum(pc.binary_length(own.column("text"))).as_py() or 0
+            if held and size + more > TOGETHER:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            if at < to:
+                held.append(own)
+                size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(
     documents: DataFrame,
     path: str | None = None,
@@ -121,11 +190,12 @@ def pieces(
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = words(path)
         numbers = common.row_numbers()
-        for part in parts:
+        for part in _together(parts):
             keys = part.column("key").to_pylist()
             held: list[tuple] = []
-            for name, ids in zip(keys, library.ids(common.texts(part)), strict=True):
-                whole = ids + end
+            ids, sizes = library.ids(part.column("text"))
+            for name, own_ids in zip(keys, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+                whole = own_ids.tobytes() + end
                 for piece, at in enumerate(range(0, len(whole), 4 * length)):
                     own = whole[at : at + 4 * length]
                     held.append((name, piece, at // 4, len(own) // 4, zlib.crc32(own), next(numbers)))

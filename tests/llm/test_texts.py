@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -100,6 +101,60 @@ def test_packing_keeps_every_id_in_gapless_sequences(spark, sentences):
     assert packing.packed(empty(spark)).count() == 0
 
 
+def library_ids(library, texts):
+    return [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def split_ids(words, texts):
+    ids, sizes = words.ids(pa.array(texts, pa.string()))
+    assert len(ids) == sizes.sum()
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_packing_looks_at_forms_of_a_word_in_columns(monkeypatch):
+    """Capitals and marks make no new word: only small letters reach the model, once each."""
+    maker = random.Random(5)
+    cores = {"".join(maker.choices("aeioubdéüßñ", k=maker.randint(1, 9))) for _ in range(400)}
+    forms = [f(x) + m for x in sorted(cores) for f in (str, str.capitalize) for m in ("", ".", ",", "!?", ".\n")]
+    forms = [x for x in forms if not x.startswith("S")]  # a capital sharp s is two letters
+    maker.shuffle(forms)
+    texts = [" ".join(forms[at : at + 50]) for at in range(0, len(forms), 50)]
+    words = packing.Words(public_tokenizers.path(packing.VOCABULARY))
+    alone, asked = [], []
+    monkeypatch.setattr(words, "_word", lambda x: alone.append(x) or words._whole(x))
+    letters = words._letters
+    monkeypatch.setattr(words, "_letters", lambda x: asked.append(x) or letters(x))
+    assert split_ids(words, texts) == library_ids(words.library, texts)
+    assert set(alone) <= {""} and len(asked) == len(set(asked)) <= len(cores)
+
+
+def test_packing_ids_of_odd_words_equal_the_library(monkeypatch):
+    maker = random.Random(7)
+    odd = [*"abXYéÉßÿÀñØ×÷µªº .,;:!?|$%&*#'\"-_<>/()03\t\n\r\x0b\x0c\x1c\x85\xa0\u3000\u0301İΣςσДж日😀\u212bẞǅ"]
+    odd += ["'s", "<|endoftext|>", "</w>", "e\u0301", "x" * 60, "ñandú" * 20, "ÉCOLE", " ", " ", "the"]
+    texts = ["".join(maker.choices(odd, k=maker.randint(0, 40))) for _ in range(3000)] + ["", "É" * 3000 + "!!"]
+    words = packing.Words(public_tokenizers.path(packing.VOCABULARY))
+    expected = library_ids(words.library, texts)
+    assert split_ids(words, texts) == expected
+    monkeypatch.setattr(packing, "CACHE", 10)
+    assert [x for at in range(0, len(texts), 100) for x in split_ids(words, texts[at : at + 100])] == expected
+
+
+@pytest.mark.parametrize("bound", [1, 30, 10**6])
+def test_texts_are_put_together_up_to_a_bound(monkeypatch, bound):
+    monkeypatch.setattr(packing, "TOGETHER", bound)
+    texts = ["a" * n if n % 7 else None for n in [*range(20), 100, 0, 0, 45, 3]]
+    whole = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["key", "text"])
+    parts = [whole.slice(0, 0), whole.slice(0, 9), whole.slice(9, 14), whole.slice(23)]
+    found = list(packing._together(iter(parts)))
+    rows = [x for part in found for x in zip(part["key"].to_pylist(), part["text"].to_pylist(), strict=True)]
+    assert rows == [(n, x or "") for n, x in enumerate(texts)]
+    sizes = [[len(x) for x in part["text"].to_pylist()] for part in found]
+    assert all(sum(x) - max(x) <= bound for x in sizes)
+    assert len(found) == 1 or bound < 10**6
+    assert list(packing._together(iter([]))) == []
+
+
 def test_sum_of_squares_chooses_the_least_sum():
     sizes = np.sort(np.random.default_rng(1).integers(1, 40, 300))[::-1]
     bins, offsets = packing.sum_of_squares(sizes, 64)
