@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import threading
 import time
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lettings import session
 from lettings.functions.dates import add_months_sticky
-from lettings.model import ENTITIES
+from lettings.model import ENTITIES, PipelineError
 from lettings.operators import checks, history, intervals, measures, quality, ranking, upsert
 from lettings.plans import adjustments, star
 
@@ -417,3 +418,78 @@ def test_upsert_moves_only_the_columns_that_are_used(spark):
     plan = after.groupBy("n").count()._jdf.queryExecution().optimizedPlan().toString()
     above = plan.splitlines()[: next(i for i, line in enumerate(plan.splitlines()) if "LogicalRDD" in line)]
     assert not [line for line in above if "wide" in line]
+
+
+def one_home(spark):
+    """A state of 30 agreements, day 1 to day 30 of them, on one property."""
+    return {
+        "locations": spark.sql("select 'L' location_id, 'c' city, 'r' region, 'PL' country_code"),
+        "owners": spark.sql("select 'O' owner_id, 'o' full_name, 'o@x' email"),
+        "tenants": spark.sql("select 'T' tenant_id, 't' full_name, 't@x' email"),
+        "properties": spark.sql(
+            """select 'P' property_id, 'L' location_id, 'O' owner_id, 'house' property_type, 1 bedrooms,
+            1.0 size_sqm, 1.0 monthly_rent, 'PLN' currency"""
+        ),
+        "rental_agreements": spark.sql(
+            """select 'A' || id agreement_id, 'P' property_id, 'T' tenant_id, date'2024-01-01' start_date,
+            date_add(date'2024-01-01', int(id)) end_date, 1.0 monthly_rent, 'ACTIVE' status from range(30)"""
+        ),
+    }
+
+
+def test_day_fact_is_tested_in_one_pass_without_a_shuffle_of_days(spark):
+    state = one_home(spark)
+    home = "rental_agreement_key"
+    facts = star.fact_occupancy(state, 3).select("occupancy_key", "date_key", home)
+    loose = checks.loosened(facts, "occupancy_key", home=home)
+    dates = star.dim_date(state).filter("date_day <> date'2024-01-03'")
+    models = {"fact_occupancy": loose, "dim_date": dates.unionByName(dates)}
+    once = checks.reports(models, at_home=("fact_occupancy",))["fact_occupancy"]
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "occupancy_key" in line]
+    assert plan.count("md5(cast(concat(") == 1
+    apart = checks.reports(models)["fact_occupancy"]
+    found = {row.test: row.violations for row in once.collect()}
+    assert found == {row.test: row.violations for row in apart.collect()}
+    assert found["relationships"] >= 28 and found["unique"] > 0 and found["not_null"] > 0
+    none = checks.reports({**models, "fact_occupancy": loose.limit(0)}, at_home=("fact_occupancy",))["fact_occupancy"]
+    assert [row.violations for row in none.collect()] == [0, 0, 0]
+    with pytest.raises(PipelineError):
+        checks.reports({"fact_payment": facts}, at_home=("fact_payment",))
+
+
+def test_stored_models_keep_the_columns_that_tests_read(spark):
+    assert checks.read_by("fact_occupancy") == ("occupancy_key", "date_key")
+    assert set(checks.read_by("rental_agreements")) == {"agreement_id", "property_id", "tenant_id", "status"}
+    for model in checks.MODELS:
+        assert {*checks.key_of(model), *checks.MODELS[model]} <= set(checks.read_by(model))
+    for _, _, parent, field in checks.RELATIONSHIPS:
+        assert field in checks.read_by(parent)
+
+
+def test_loosened_copies_hold_the_values_of_their_row(spark):
+    frame = spark.range(200).selectExpr("string(id) k", "if(id % 3 = 0, null, id) n", "date'2024-01-01' d", "id % 2 = 0 b")
+    rows = checks.loosened(frame, "k", home="k").collect()
+    expected = []
+    for k, n, d, b in frame.collect():
+        digit = hashlib.md5(k.encode()).hexdigest()[0]
+        expected += [(k, n, d, b, k)] * (2 if digit == "0" else 1)
+        expected += [(None, None, None, None, k)] * (digit == "1")
+        expected += [(f"{k}x", None if n is None else -n, d, b, k)] * (digit == "2")
+    assert sorted(map(tuple, rows), key=str) == sorted(expected, key=str)
+
+
+def test_tidy_drops_the_shuffles_of_a_write_when_it_ends(spark, tmp_path):
+    disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    kept = spark.conf.get(session.CLEANUP, None)
+    with session.tidy(spark):
+        spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(f"{tmp_path}/t")
+    assert spark.conf.get(session.CLEANUP, None) == kept
+    assert not shuffles() - before
