@@ -493,3 +493,65 @@ def test_tidy_drops_the_shuffles_of_a_write_when_it_ends(spark, tmp_path):
         spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(f"{tmp_path}/t")
     assert spark.conf.get(session.CLEANUP, None) == kept
     assert not shuffles() - before
+
+
+def agreed(spark, *rows):
+    """The state of ``one_home`` with these agreements: id, first day, last day."""
+    ddl = "agreement_id string, start_date date, end_date date"
+    terms = spark.createDataFrame(rows, ddl).selectExpr(
+        "agreement_id", "'P' property_id", "'T' tenant_id", "start_date", "end_date", "1.0 monthly_rent", "'ACTIVE' status"
+    )
+    return {**one_home(spark), "rental_agreements": terms}
+
+
+ODD_TERMS = [
+    ("leap", date(2023, 12, 30), date(2024, 3, 2)),
+    ("one day", date(2024, 2, 29), date(2024, 2, 29)),
+    ("two years", date(1999, 1, 31), date(2000, 12, 31)),
+    ("reversed", date(2024, 2, 3), date(2024, 1, 30)),
+    ("open", date(2024, 2, 3), None),
+    ("never", None, date(2024, 2, 3)),
+    ("early", date(90, 12, 30), date(91, 1, 2)),
+    ("late", date(9999, 12, 30), date(9999, 12, 31)),
+    ("twice", date(2024, 1, 1), date(2024, 1, 3)),
+    ("twice", date(2024, 1, 3), date(2024, 1, 4)),
+    (None, date(2024, 1, 1), date(2024, 1, 2)),
+]
+
+
+def days_of(start, end):
+    if start is None or end is None:
+        return []
+    first, last = min(start, end), max(start, end)
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
+def test_days_of_the_fact_against_plain_loops(spark):
+    expected = []
+    for name, start, end in ODD_TERMS:
+        for d in days_of(start, end):
+            key = name and hashlib.md5(f"{name}:{d.isoformat()}".encode()).hexdigest()
+            expected.append((key, d.year * 10000 + d.month * 100 + d.day, d, 1))
+    facts = star.fact_occupancy(agreed(spark, *ODD_TERMS), 3)
+    assert facts.columns == [
+        "occupancy_key", "rental_agreement_key", "property_key", "location_key", "tenant_key", "date_key", "date_day", "occupied_day"
+    ]
+    got = facts.select("occupancy_key", "date_key", "date_day", "occupied_day").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "date_day#" in above and "as string)" not in above  # no date is formatted for each day
+
+
+def test_digest_is_the_sum_of_sixty_bits_of_each_row(spark):
+    rows = [(i % 3, None if i % 5 == 0 else f"t{i}", day(i)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "k int, t string, d date")
+    found = checks.digest(frame, F.col("k").alias("g"))
+    expected = {}
+    for k, t, d in rows:
+        text = "|".join(["null" if v is None else str(v) for v in (d, k, t)])
+        count, total = expected.get(k, (0, 0))
+        expected[k] = count + 1, total + int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    assert {r.g: (r.row_count, int(r.checksum)) for r in found.collect()} == expected
+    assert "decimal(20,0)" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [tuple(r) for r in checks.digest(frame.limit(0)).collect()] == [(0, None)]
