@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lettings import session
+from lettings.catalog import queries
 from lettings.functions.dates import add_months_sticky
 from lettings.model import ENTITIES, PipelineError
 from lettings.operators import checks, history, intervals, measures, quality, ranking, upsert
@@ -555,3 +556,37 @@ def test_digest_is_the_sum_of_sixty_bits_of_each_row(spark):
     assert {r.g: (r.row_count, int(r.checksum)) for r in found.collect()} == expected
     assert "decimal(20,0)" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
     assert [tuple(r) for r in checks.digest(frame.limit(0)).collect()] == [(0, None)]
+
+
+def test_days_by_agreement_are_those_of_the_fact_and_are_not_sorted(spark):
+    state = agreed(spark, *ODD_TERMS)
+    keys = ["rental_agreement_key", "property_key", "location_key", "tenant_key"]
+    columns = ["occupancy_key", "date_key", "date_day", "occupied_day"]
+    grouped = star.fact_occupancy(state, 3, by_agreement=True)
+    assert grouped.columns == [*keys, *columns]
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if ("Sort" in line or "Exchange" in line) and "occupancy_key" in line]
+    assert plan.count("Generate") == 0
+    rows = grouped.collect()
+    assert len({row[:4] for row in rows}) == len(rows) == 8
+    listed = [(*row[:4], *one) for row in rows for one in zip(*row[4:], strict=True)]
+    flat = star.fact_occupancy(state, 3).select(*keys, *columns).collect()
+    assert sorted(listed, key=str) == sorted(map(tuple, flat), key=str)
+
+
+def test_fact_occupancy_reports_agreements_as_a_grouping_of_days_would(spark, monkeypatch):
+    state = agreed(spark, *ODD_TERMS)
+    monkeypatch.setattr(queries, "state", lambda spark, folder: state)
+    got = queries.fact_occupancy(spark, "")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "count(distinct" not in plan and "SortAggregate" not in plan
+    expected = star.fact_occupancy(state).groupBy(*star.OCCUPANCY_KEYS).agg(
+        F.sum("occupied_day").alias("occupied_days"),
+        F.countDistinct("occupancy_key").alias("occupancy_keys"),
+        F.min("occupancy_key").alias("lowest_key"),
+        F.max("occupancy_key").alias("highest_key"),
+        F.min("date_key").alias("first_date_key"),
+        F.max("date_day").alias("last_day"),
+    )
+    assert got.dtypes == expected.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
