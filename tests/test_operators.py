@@ -6,6 +6,7 @@ import threading
 import time
 from datetime import date, datetime, timedelta
 from functools import partial
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -590,3 +591,32 @@ def test_fact_occupancy_reports_agreements_as_a_grouping_of_days_would(spark, mo
     )
     assert got.dtypes == expected.dtypes
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_load_of_all_entities_counts_slices_that_add_up(spark, monkeypatch):
+    """Counts are stored join by join; the frame that comes back joins no records any more."""
+    state = {}
+    for name, spec in ENTITIES.items():
+        keys = "if(id = 50, null, 'K' || id)"
+        state[name] = spark.range(60).selectExpr(
+            f"{keys} as {spec.key}", "sha2(string(id), 256) record_fingerprint", "'batch-0001' batch_id"
+        )
+    monkeypatch.setattr(queries, "state", lambda spark, folder: state)
+    found = []
+    for slices in (1, 5):
+        monkeypatch.setattr(queries, "_slices", lambda spark, folder, name, n=slices: n)
+        got = queries.load_all_entities(spark, "")
+        assert "record_fingerprint" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert got.columns == ["entity", "inserted_count", "updated_count", "skipped_count", "state_rows", "batch_rows"]
+        found.append(sorted(map(tuple, got.collect())))
+    # Six keys end in 7 and six in 3; the record without a key meets no stored one.
+    assert found[0] == sorted((name, 7, 6, 47, 67, 67) for name in ENTITIES)
+    assert found[1] == found[0]
+
+
+def test_slices_of_a_load_hold_so_many_records(spark, monkeypatch):
+    records = SimpleNamespace(valid=spark.range(10))
+    monkeypatch.setattr(queries, "assessed", lambda spark, folder: {"payments": records})
+    assert queries._slices(spark, "", "payments") == 1
+    monkeypatch.setattr(queries, "RECORDS_AT_ONCE", 4)
+    assert queries._slices(spark, "", "payments") == 3
