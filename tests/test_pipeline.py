@@ -157,6 +157,7 @@ def test_readers(spark, tmp_path):
 def test_rows_are_numbered_in_file_order_over_many_splits(spark, tmp_path):
     data = extracts.rows(400)
     folder = extracts.write(f"{tmp_path}/in", data)
+    before = {name: spark.conf.get(name, None) for name in ("spark.sql.files.maxPartitionBytes",)}
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         landed = bronze.ingest(spark, folder, f"{tmp_path}/bronze", "b")
@@ -204,6 +205,8 @@ def test_line_breaks_in_quotes_are_read_by_many_tasks(spark, tmp_path):
         record["full_name"] = ["Ann\nB", "plain", 'say ""\n""hi', "a,b", "x\n" * 400, "\n"][i % 6] + str(i)
     data["owners"][0]["full_name"] = "Ann\nB"
     folder = extracts.write(f"{tmp_path}/in", data)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name, None) for name in names}
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     spark.conf.set("spark.sql.files.openCostInBytes", "700")
     try:
